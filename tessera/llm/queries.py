@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, quality, urls
+from tessera.llm import decontaminate, mixing, quality, secrets, sharding, simhash, urls
 from tessera.llm.common import table
 
 
@@ -10,16 +10,33 @@ def op2_decontaminate(spark, sf_dir):
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_mix(spark, sf_dir):
+    return mixing.mix_table(table(spark, sf_dir, "documents"))
+
+
+def op4_shard(spark, sf_dir):
+    return sharding.shard_table(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark, sf_dir):
     return quality.quality_table(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_urls(spark, sf_dir):
     return urls.url_table(table(spark, sf_dir, "pages"))
 
 
+def op10_secrets(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def queries():
-    return {f.__name__: f for f in (op2_decontaminate, op5_quality, op7_urls)}
+    found = (op2_decontaminate, op3_mix, op4_shard, op5_quality, op6_simhash, op7_urls, op10_secrets)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql():
