@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, mixing, quality, secrets, sharding, simhash, urls
+from tessera.llm import decontaminate, html, mixing, quality, secrets, sharding, simhash, urls
 from tessera.llm.common import table
 
 
+def op1_extract(spark, sf_dir):
+    return html.extract_table(table(spark, sf_dir, "pages"))
+
+
 def op2_decontaminate(spark, sf_dir):
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -35,7 +39,7 @@ def op10_secrets(spark, sf_dir):
 
 
 def queries():
-    found = (op2_decontaminate, op3_mix, op4_shard, op5_quality, op6_simhash, op7_urls, op10_secrets)
+    found = (op1_extract, op2_decontaminate, op3_mix, op4_shard, op5_quality, op6_simhash, op7_urls, op10_secrets)
     return {f.__name__: f for f in found}
 
 
