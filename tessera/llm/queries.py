@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, html, mixing, quality, secrets, sharding, simhash, urls
+from tessera.llm import decontaminate, html, mixing, quality, secrets, sharding, simhash, substrings, urls
 from tessera.llm.common import table
 
 
@@ -34,14 +34,18 @@ def op7_urls(spark, sf_dir):
     return urls.url_table(table(spark, sf_dir, "pages"))
 
 
+def op9_substrings(spark, sf_dir):
+    return substrings.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
 def queries():
-    found = (op1_extract, op2_decontaminate, op3_mix, op4_shard, op5_quality, op6_simhash, op7_urls, op10_secrets)
+    found = (op1_extract, op2_decontaminate, op3_mix, op4_shard, op5_quality, op6_simhash, op7_urls, op9_substrings, op10_secrets)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql():
-    return {"op2_decontaminate": decontaminate.ORACLE, "op5_quality": quality.ORACLE, "op7_urls": urls.ORACLE}
+    return {"op2_decontaminate": decontaminate.ORACLE, "op5_quality": quality.ORACLE, "op7_urls": urls.ORACLE, "op9_substrings": substrings.ORACLE}
