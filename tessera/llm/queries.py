@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tessera.llm import decontaminate, html, mixing, quality, secrets, sharding, simhash, substrings, urls
+import corpus_pipeline
+from tessera.llm import decontaminate, html, mixing, quality, secrets, sharding, simhash, substrings, suffixes, urls
 from tessera.llm.common import table
 
 
@@ -34,6 +35,10 @@ def op7_urls(spark, sf_dir):
     return urls.url_table(table(spark, sf_dir, "pages"))
 
 
+def op8_passages(spark, sf_dir):
+    return suffixes.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_substrings(spark, sf_dir):
     return substrings.deduplicate(table(spark, sf_dir, "documents"))
 
@@ -42,10 +47,14 @@ def op10_secrets(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries():
-    found = (op1_extract, op2_decontaminate, op3_mix, op4_shard, op5_quality, op6_simhash, op7_urls, op9_substrings, op10_secrets)
+    found = (op1_extract, op2_decontaminate, op3_mix, op4_shard, op5_quality, op6_simhash, op7_urls, op8_passages, op9_substrings, op10_secrets, pipeline)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql():
-    return {"op2_decontaminate": decontaminate.ORACLE, "op5_quality": quality.ORACLE, "op7_urls": urls.ORACLE, "op9_substrings": substrings.ORACLE}
+    return {"op2_decontaminate": decontaminate.ORACLE, "op5_quality": quality.ORACLE, "op7_urls": urls.ORACLE, "op8_passages": suffixes.ORACLE, "op9_substrings": substrings.ORACLE}
