@@ -486,10 +486,10 @@ def greatest_by_command(spark, sf_dir):
     return games.greatest_by(x, "user_id", ["a", "b"])
 
 
-@query("""SELECT o_orderpriority AS output, CAST(sum(CAST(o_totalprice AS BIGINT)) AS BIGINT) AS bytes, count(*) AS records, count(DISTINCT o_custkey) AS sources FROM orders GROUP BY output""")
+@query("""SELECT o_orderpriority AS output, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS bytes, count(*) AS records, count(DISTINCT o_custkey) AS sources FROM orders GROUP BY output""")
 def manifest(spark, sf_dir):
     x = table(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "output")
-    return layout.manifest(x, "output", "o_custkey", F.round("o_totalprice").cast("bigint"))
+    return layout.manifest(x, "output", "o_custkey", F.floor("o_totalprice").cast("bigint"))
 
 
 @query("""SELECT s_suppkey, translate(CAST(s_suppkey % 9 + 1 AS VARCHAR) || 'g' || CAST(s_nationkey % 9 + 1 AS VARCHAR) || 'f', '123456789abcdefghi', '987654321ihgfedcba') AS move FROM supplier""")

@@ -15,7 +15,7 @@ PROJECTIONS = {
         "orders",
         "o_orderkey AS game, o_custkey AS black, (o_custkey * 7 + 1) % 149 + 1 AS white, "
         "CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS winner, o_orderdate AS played, "
-        "o_orderpriority AS opponent, CAST(o_totalprice AS BIGINT) % 3 AS nodes",
+        "o_orderpriority AS opponent, CAST(floor(o_totalprice) AS BIGINT) % 3 AS nodes",
     ),
     "position_eval": (
         "lineitem",
