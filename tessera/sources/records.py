@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.windows import carry_forward
 
@@ -81,3 +85,86 @@ def first_date(text: Column) -> Column:
     found = F.regexp_extract_all(text, F.lit(r"(\d{4})[-/.]?(\d{2})[-/.]?(\d{2})"), 0)
     days = F.transform(found, lambda s: F.try_to_timestamp(F.regexp_replace(s, r"[-/.]", ""), F.lit("yyyyMMdd")).cast("date"))
     return F.get(F.filter(days, lambda d: d.isNotNull()), F.lit(0))
+
+
+#: Encodings in the order in which they are tried.
+ENCODINGS = ("utf-8-sig", "utf-8", "cp932", "shift_jis")
+
+
+def decode(data: bytes) -> str:
+    for name in ENCODINGS:
+        try:
+            return data.decode(name)
+        except UnicodeDecodeError:
+            continue
+    return data.decode("utf-8", "replace")
+
+
+@F.pandas_udf(T.StringType())
+def decoded(data: pd.Series) -> pd.Series:
+    """The text of bytes in the first encoding that fits."""
+    return data.map(lambda x: decode(bytes(x)), na_action="ignore")
+
+
+# The signs of files, ranks, pieces and ends of KIF records.
+KIF_FILES, KIF_RANKS = "１２３４５６７８９", "一二三四五六七八九"
+KIF_PIECES = {"歩": "P", "香": "L", "桂": "N", "銀": "S", "金": "G", "角": "B", "飛": "R"}
+KIF_MOVE = re.compile(r"^\s*\d+\s+(?:([１-９])([一二三四五六七八九])|同[\s　]*)([成と馬龍竜]?[歩香桂銀金角飛玉王杏圭全と馬龍竜]?)(成|打)?(?:\((\d)(\d)\))?")
+
+
+def kif_moves(text: str) -> list[str]:
+    """The moves of a KIF record in USI; lines that are no moves are passed over."""
+    out, last = [], ""
+    for line in text.splitlines():
+        if not (m := KIF_MOVE.match(line)):
+            continue
+        to = str(KIF_FILES.index(m[1]) + 1) + "abcdefghi"[KIF_RANKS.index(m[2])] if m[1] else last
+        if not to or not (m[4] == "打" or m[5]):
+            continue
+        if m[4] == "打":
+            if m[3] not in KIF_PIECES:
+                continue
+            out.append(f"{KIF_PIECES[m[3]]}*{to}")
+        else:
+            out.append(m[5] + "abcdefghi"[int(m[6]) - 1] + to + ("+" if m[4] == "成" else ""))
+        last = to
+    return out
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def kif_moves_of(text: pd.Series) -> pd.Series:
+    return text.map(kif_moves, na_action="ignore")
+
+
+def kif_games(spark: SparkSession, path: str) -> DataFrame:
+    """(path, black, white, played, moves, result, winner) of KIF files in any of the encodings.
+
+    The winner follows from the last line's word and from whose turn it is: 0 Black, 1 White, 2 draw, null unknown.
+    """
+    x = spark.read.format("binaryFile").load(path).select("path", decoded("content").alias("t"))
+    one = lambda pattern: F.nullif(F.trim(F.regexp_extract("t", pattern, 1)), F.lit(""))
+    x = x.select(
+        "path", one(r"(?m)^(?:先手|下手)[：:]([^\r\n]*)").alias("black"), one(r"(?m)^(?:後手|上手)[：:]([^\r\n]*)").alias("white"),
+        first_date(F.coalesce(one(r"(?m)^開始日時[：:]([^\r\n]*)"), F.lit(""))).alias("played"), kif_moves_of("t").alias("moves"),
+        one(r"(?m)^\s*\d+\s+(投了|中断|千日手|持将棋|詰み|切れ負け|反則負け|反則勝ち|入玉勝ち)").alias("result"),
+    )
+    turn = F.size("moves") % 2
+    lost = F.col("result").isin("投了", "詰み", "切れ負け", "反則負け")
+    winner = F.when(lost, 1 - turn).when(F.col("result").isin("入玉勝ち", "反則勝ち"), turn).when(F.col("result").isin("千日手", "持将棋"), 2)
+    return x.withColumn("winner", winner)
+
+
+def size_bytes(text: Column) -> Column:
+    """A size such as 512M or 2KiB in bytes; null if it is none."""
+    number = F.regexp_extract(text, r"(?i)^\s*(\d+)\s*(?:[KMGT](?:i?B)?|B)?\s*$", 1).try_cast("bigint")
+    unit = F.upper(F.regexp_extract(text, r"(?i)^\s*\d+\s*([KMGT])", 1))
+    return number * F.when(unit == "K", 1 << 10).when(unit == "M", 1 << 20).when(unit == "G", 1 << 30).when(unit == "T", 1 << 40).otherwise(1)
+
+
+def option_line(text: Column) -> Column:
+    """(name, type, default, least, most) of an engine's option line."""
+    one = lambda pattern: F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+    return F.struct(
+        one(r"\bname\s+(.*?)\s+type\b").alias("name"), one(r"\btype\s+(\S+)").alias("type"), one(r"\bdefault\s+(\S+)").alias("default"),
+        one(r"\bmin\s+(\S+)").alias("least"), one(r"\bmax\s+(\S+)").alias("most"),
+    )

@@ -5,8 +5,8 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions import codec, sfen
-from tessera.operators import books, games, layout, lookups, windows
+from tessera.functions import codec, rules, sfen
+from tessera.operators import books, games, layout, lookups, positions, windows
 from tessera.sources import books as book_files
 from tessera.sources import html, records, training
 
@@ -222,3 +222,56 @@ def test_dates(spark):
     x = frame(spark, [("2025-01-01 00:00:00",), ("2025-01-01 00:00:01",), ("2025-01-02 00:00:00",), (None,)], "t string").withColumn("at", F.col("t").cast("timestamp_ntz"))
     keep = games.played_between(F.col("at"), F.lit(None).cast("date"), "2025-01-01", "2025-01-01")
     assert [r.k for r in x.select(keep.alias("k")).collect()] == [False, True, True, False]
+
+
+def perft(position, depth):
+    return 1 if not depth else sum(perft(position.after(m), depth - 1) for m in position.legal())
+
+
+@pytest.mark.parametrize("depth,want", [(1, 30), (2, 900), (3, 25470)])
+def test_legal_moves(depth, want):
+    assert perft(rules.Position.read(START), depth) == want
+
+
+def test_rules():
+    drop_mate = rules.Position.read("8k/7GS/9/7L1/9/9/9/9/4K4 b P 1")
+    assert "P*1b" not in drop_mate.legal() and not any(m.startswith("P*") and m[3] == "a" for m in drop_mate.legal())
+    two = rules.Position.read("4k4/9/9/9/9/9/4P4/9/4K4 b P 1")
+    assert not any(m.startswith("P*5") for m in two.legal()) and "P*4b" in two.legal()
+    last = rules.Position.read("4k4/P8/9/9/9/9/9/9/4K4 b - 1")
+    assert "9b9a+" in last.legal() and "9b9a" not in last.legal()
+    assert [m for _, m in rules.replay("startpos moves 7g7f 3c3d 8h2b+ 9a9a")] == ["7g7f", "3c3d", "8h2b+", ""]
+
+
+def test_rules_operators(spark):
+    games_ = frame(spark, [("startpos moves 7g7f 3c3d 2g2f",), ("startpos moves 7g7f 8c8d",), ("nonsense",)], "position string")
+    book = positions.games_to_book(games_, 10)
+    base = " ".join(START.split()[:3])
+    assert {(r.move, r.ponder, r.move_count) for r in book.where(F.col("key") == base).collect()} == {("7g7f", "3c3d", 2)}
+    labels = {r.key: r.level for r in positions.ply_labels(book, START, 4).collect()}
+    assert sorted(labels.values()) == [0, 1]
+    assert {r.level for r in positions.budgeted_walk(book, START, 0, 2).collect()} == {0, 1}
+    assert positions.leaf_children(book).where(F.col("key") == base).count() == 29
+    assert value(spark, positions.pieces, s="4k4/9/9/9/9/9/9/9/4K4 b 2Pp 1") == 5 and value(spark, positions.pieces, s=START) == 40
+    rows = [("k", "a", 10, True, False), ("k", "a", 10, True, False), ("k", "b", 9, True, False), ("k", "c", -50, True, True), ("k", "d", 99, False, False), ("k", "e", -40, True, False)]
+    kept = positions.prune_candidates(frame(spark, rows, "k string, move string, score int, legal boolean, selected boolean"), "k", 3, 30)
+    assert sorted(r.move for r in kept.collect()) == ["a", "b", "c"]
+    starts = frame(spark, [("a", 32, 20, 0), ("a", 32, 500, 1), ("b", 32, 51, 0), ("c", 31, 0, 0)], "key string, ply int, value int, seq int")
+    assert [r.key for r in positions.balanced_starts(starts).collect()] == ["a"]
+
+
+KIF = "手合割：平手\n先手：甲\n後手：乙\n開始日時：2024/05/06 10:00:00\n手数----指手---------消費時間--\n   1 ７六歩(77)   ( 0:01/00:00:01)\n*#評価値 30\n   2 ３四歩(33)\n   3 ２二角成(88)\n   4 同　銀(31)\n   5 角打\n   5 ５五角打\n   6 投了\n"
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "utf-8-sig", "cp932"])
+def test_kif(spark, tmp_path, encoding):
+    (tmp_path / "g.kif").write_bytes(KIF.encode(encoding))
+    r = records.kif_games(spark, str(tmp_path)).first()
+    assert (r.black, r.white, str(r.played), r.winner) == ("甲", "乙", "2024-05-06", 0)
+    assert r.moves == ["7g7f", "3c3d", "8h2b+", "3a2b", "B*5e"]
+
+
+def test_sizes(spark):
+    assert [value(spark, records.size_bytes, s=x) for x in ("512M", "1g", "10", "2KiB", "x")] == [512 << 20, 1 << 30, 10, 2048, None]
+    row = spark.range(1).select(records.option_line(F.lit("option name Hash type spin default 16 min 1 max 1024")).alias("o")).first().o
+    assert (row.name, row.type, row.default, row.least, row.most) == ("Hash", "spin", "16", "1", "1024")
