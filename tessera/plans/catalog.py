@@ -462,9 +462,9 @@ def rejoin_leaves(spark, sf_dir):
     return graph.rejoin(leaf, e.select(F.col("src").alias("node"), "dst"), e.where("src % 5 = 0").select(F.col("src").alias("node")))
 
 
-@query("SELECT l_orderkey, l_partkey, arg_max(l_extendedprice, l_suppkey * 100 + l_linenumber) AS price FROM lineitem GROUP BY l_orderkey, l_partkey")
+@query("SELECT l_orderkey, l_partkey, arg_max(l_extendedprice, (l_suppkey * 100 + l_linenumber) * 1000000 + l_extendedprice) AS price FROM lineitem GROUP BY l_orderkey, l_partkey")
 def newest_wins(spark, sf_dir):
-    x = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", F.col("l_extendedprice").alias("price"), F.expr("l_suppkey * 100 + l_linenumber").alias("run"))
+    x = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", F.col("l_extendedprice").alias("price"), F.expr("(l_suppkey * 100 + l_linenumber) * 1000000 + l_extendedprice").alias("run"))
     return books.newest_wins(x, ["l_orderkey", "l_partkey"], "run").select("l_orderkey", "l_partkey", "price")
 
 

@@ -9,7 +9,7 @@ PROJECTIONS = {
     "book_move": (
         "lineitem",
         "l_orderkey AS key, l_partkey AS move, CAST(floor(l_extendedprice) AS INT) AS value, l_linenumber AS depth, "
-        "CAST(l_quantity AS BIGINT) AS move_count, l_suppkey * 100 + l_linenumber AS seq, l_suppkey AS book",
+        "CAST(l_quantity AS BIGINT) AS move_count, (l_suppkey * 100 + l_linenumber) * 1000000 + CAST(floor(l_extendedprice) AS BIGINT) AS seq, l_suppkey AS book",
     ),
     "game": (
         "orders",
@@ -23,7 +23,7 @@ PROJECTIONS = {
     ),
     "edge": (
         "lineitem",
-        "l_partkey AS src, l_orderkey % 2000 + 1 AS dst, CAST(floor(l_extendedprice) AS BIGINT) AS value, l_suppkey * 100 + l_linenumber AS seq",
+        "l_partkey AS src, l_orderkey % 2000 + 1 AS dst, CAST(floor(l_extendedprice) AS BIGINT) AS value, (l_suppkey * 100 + l_linenumber) * 1000000 + CAST(floor(l_extendedprice) AS BIGINT) AS seq",
     ),
     "event": ("events", "event_id, ts, user_id, event_type, value"),
 }
