@@ -9,10 +9,14 @@ from tessera.functions.sfen import flip_move, flip_sfen
 
 
 def merge_duplicates(moves: DataFrame) -> DataFrame:
-    """A1/A3: one row per (key, move): value and depth of the last by ``seq``, counts added, the slot of the first."""
+    """A1/A3: one row per (key, move): value and depth of the last by ``seq``, counts added, the slot of the first.
+
+    ``seq`` must be a total order within a key and move. Each column has an aggregate of its own: buffers of plain numbers keep this a hash
+    aggregate, where a struct would make Spark sort the rows first.
+    """
     return moves.groupBy("key", "move").agg(
-        F.max_by(F.struct("value", "depth"), "seq").alias("last"), F.sum("move_count").alias("move_count"), F.min("seq").alias("slot")
-    ).select("key", "move", "last.value", "last.depth", F.col("move_count").cast("bigint").alias("move_count"), "slot")
+        F.max_by("value", "seq").alias("value"), F.max_by("depth", "seq").alias("depth"), F.sum("move_count").cast("bigint").alias("move_count"), F.min("seq").alias("slot")
+    )
 
 
 def positions(moves: DataFrame) -> DataFrame:
@@ -78,9 +82,8 @@ def break_ties(moves: DataFrame) -> DataFrame:
 
 
 def newest_wins(runs: DataFrame, keys: list[str], newest: str) -> DataFrame:
-    """Of the rows of each key the one of the newest run."""
-    others = [c for c in runs.columns if c not in keys]
-    return runs.groupBy(*keys).agg(F.max_by(F.struct(*others), newest).alias("r")).select(*keys, "r.*")
+    """Of the rows of each key the one of the newest run; a key has one row in a run."""
+    return runs.groupBy(*keys).agg(*(F.max_by(c, newest).alias(c) for c in runs.columns if c not in keys))
 
 
 def update_known(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -77,9 +77,8 @@ def tumbling_counts(events: DataFrame, at: str, minutes: int) -> DataFrame:
 
 
 def latest(df: DataFrame, by: str, order: str) -> DataFrame:
-    """The row of the greatest ``order`` of each group."""
-    others = [c for c in df.columns if c != by]
-    return df.groupBy(by).agg(F.max_by(F.struct(*others), order).alias("r")).select(by, "r.*")
+    """The row of the greatest ``order`` of each group, which no other row of it has."""
+    return df.groupBy(by).agg(*(F.max_by(c, order).alias(c) for c in df.columns if c != by))
 
 
 def prefixes(df: DataFrame, moves: str) -> DataFrame:
@@ -104,6 +103,5 @@ def pairs(df: DataFrame, by: str, order: Sequence[Column | str], value: str, nam
 
 
 def first_occurrence(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """The first row of each key; a partial aggregate, so copies of one key don't meet in one task."""
-    others = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.min_by(F.struct(*others), order).alias("r")).select(*keys, "r.*")
+    """The first row of each key by ``order``, which is unique; a partial aggregate, so copies of one key don't meet in one task."""
+    return df.groupBy(*keys).agg(*(F.min_by(c, order).alias(c) for c in df.columns if c not in keys))
