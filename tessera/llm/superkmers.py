@@ -18,10 +18,15 @@ from pyspark.sql import functions as F
 from tessera.llm.common import partitions
 
 #: Bytes of text that are packed at once, and words of a long text in one piece.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 4_000_000
 PIECE_WORDS = 400_000
+#: Bytes that are hashed at once.
+HASH_BYTES = 1_000_000
 #: Bytes of text in a bucket's super-k-mers, about.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 6 << 20
+LEVEL = 3
+#: A bucket of more bytes than this is hot.
+HOT_BYTES = 6 * BUCKET_BYTES
 
 #: Stands for a null doc_id.
 LAST = (1 << 63) - 1
@@ -81,7 +86,7 @@ class Words:
         k = 0
         while k < len(out):  # in pieces, as each byte takes 24 bytes here
             base = self.starts[k]
-            to = max(k + 1, int(np.searchsorted(self.ends, base + CHUNK_BYTES, "right")))
+            to = max(k + 1, int(np.searchsorted(self.ends, base + HASH_BYTES, "right")))
             piece = _letters(which)[raw[base : self.ends[to - 1]]]
             out[k:to] = _range_hashes(piece, self.starts[k:to] - base, self.ends[k:to] - base, which)
             k = to
@@ -120,8 +125,84 @@ def cut(words: Words, sizes: np.ndarray, length: int, gram: int) -> tuple[np.nda
     return at[first], np.diff(np.concatenate((first, [len(at)]))), own[first]
 
 
-def pack(docs: DataFrame, length: int, gram: int, buckets: int) -> DataFrame:
-    """(bucket, blob) from ``docs`` (doc bigint, th bigint, text binary).
+class Deal:
+    """Where super-k-mers go: to the bucket of their minimiser, or window by window to a bucket of the window, if that one is hot.
+
+    A hot bucket's windows are cut apart and dealt by their own hash to ``extra`` buckets behind the others. Equal windows still meet, and different
+    ones around a frequent minimiser spread over many tasks.
+    """
+
+    def __init__(self, length: int, gram: int, buckets: int, hot: tuple[int, ...] = (), extra: int = 0):
+        self.length, self.gram, self.buckets, self.hot, self.extra = length, gram, buckets, np.array(hot, np.int64), extra
+
+    def cut(self, words: Words, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first window, number of windows, bucket) of all that travels of the texts."""
+        first, count, least = cut(words, sizes, self.length, self.gram)
+        bucket = (_mix(least) % U(self.buckets)).astype(np.int64)
+        apart = np.isin(bucket, self.hot)
+        if not apart.any():
+            return first, count, bucket
+        n = count[apart]
+        each = np.repeat(first[apart] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        own = self.buckets + (_mix(words.windows(each, self.length)) % U(self.extra)).astype(np.int64)
+        join = lambda x, y: np.concatenate((x[~apart], y))
+        return join(first, each), join(count, np.ones_like(each)), join(bucket, own)
+
+
+def chunks(b: pa.RecordBatch, length: int) -> Iterator[list[tuple[int, int, int, list[bytes]]]]:
+    """The texts of a batch, some megabytes at a time, as (doc, th, first word, words); long texts in overlapping pieces."""
+    held: list[tuple[int, int, int, list[bytes]]] = []
+    size = 0
+    for doc, th, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+        own = (text or b"").split()
+        for k in range(0, max(1, len(own) - length + 1), PIECE_WORDS):
+            piece = own if len(own) <= PIECE_WORDS else own[k : k + PIECE_WORDS + length - 1]
+            if len(piece) < length:
+                continue
+            held.append((doc, th, k, piece))
+            size += len(text)
+            if size >= CHUNK_BYTES or len(own) > PIECE_WORDS:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def joined(held: list[tuple[int, int, int, list[bytes]]]) -> tuple[bytes, Words, np.ndarray]:
+    text = b" ".join([b" ".join(x[3]) for x in held])
+    return text, Words(text), np.fromiter((len(x[3]) for x in held), np.int64, len(held))
+
+
+def plan(rows: DataFrame, length: int, gram: int, buckets: int, hot_bytes: int = HOT_BYTES) -> Deal:
+    """The deal for all of ``rows``, a result of ``keyed``: a first pass adds up the bytes of every bucket.
+
+    The driver gets the numbers of the buckets that hold more than ``hot_bytes``, of which there are few beside all buckets.
+    """
+    deal = Deal(length, gram, buckets)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sums = np.zeros(buckets, np.int64) if buckets <= 1 << 20 else None
+            for held in chunks(b, length):
+                _, words, sizes = joined(held)
+                first, count, bucket = deal.cut(words, sizes)
+                size = words.ends[first + count + length - 2] - words.starts[first]
+                if sums is not None:
+                    sums += np.bincount(bucket, weights=size, minlength=buckets).astype(np.int64)
+                else:
+                    yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(size)], ["bucket", "bytes"])
+            if sums is not None:
+                own = np.flatnonzero(sums)
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(sums[own])], ["bucket", "bytes"])
+
+    loads = rows.mapInArrow(of, "bucket bigint, bytes bigint").groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
+    hot = loads.where(F.col("bytes") > hot_bytes).collect()
+    extra = max(1, 7 * sum(r["bytes"] for r in hot) // BUCKET_BYTES)
+    return Deal(length, gram, buckets, tuple(sorted(r.bucket for r in hot)), extra)
+
+
+def pack(rows: DataFrame, deal: Deal) -> DataFrame:
+    """(bucket, blob) from ``rows``, a result of ``keyed``.
 
     A blob holds one bucket's super-k-mers of some megabytes of text, each distinct string once with all its places, in zstd. So copies
     within those texts travel as places only.
@@ -129,51 +210,34 @@ def pack(docs: DataFrame, length: int, gram: int, buckets: int) -> DataFrame:
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            held: list[tuple[int, int, int, list[bytes]]] = []
-            size = 0
-            for doc, th, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                own = (text or b"").split()
-                for k in range(0, max(1, len(own) - length + 1), PIECE_WORDS):
-                    piece = own if len(own) <= PIECE_WORDS else own[k : k + PIECE_WORDS + length - 1]
-                    if len(piece) < length:
-                        continue
-                    held.append((doc, th, k, piece))
-                    size += len(text)
-                    if size >= CHUNK_BYTES or len(own) > PIECE_WORDS:
-                        yield from blobs(held, length, gram, buckets)
-                        held, size = [], 0
-            yield from blobs(held, length, gram, buckets)
-
-    return docs.mapInArrow(of, "bucket int, blob binary")
-
-
-def blobs(held: list[tuple[int, int, int, list[bytes]]], length: int, gram: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    if not held:
+            for held in chunks(b, deal.length):
+                yield from blobs(held, deal)
+
+    return rows.mapInArrow(of, "bucket bigint, blob binary")
+
+
+def blobs(held: list[tuple[int, int, int, list[bytes]]], deal: Deal) -> Iterator[pa.RecordBatch]:
+    text, words, sizes = joined(held)
+    first, count, bucket = deal.cut(words, sizes)
+    if not len(first):
         return
-    text = b" ".join([b" ".join(x[3]) for x in held])
-    words = Words(text)
-    sizes = np.fromiter((len(x[3]) for x in held), np.int64, len(held))
-    first, count, least = cut(words, sizes, length, gram)
     offsets = np.cumsum(sizes) - sizes
     which = np.searchsorted(offsets, first, "right") - 1
-    docs, hashes, bases = (np.array([x[k] for x in held], np.int64) for k in range(3))
+    docs, tags, bases = (np.array([x[k] for x in held], np.int64) for k in range(3))
     place = first - offsets[which] + bases[which]
-    bucket = (_mix(least) % U(buckets)).astype(np.int32)
     order = np.lexsort((place, docs[which], bucket))
-    a, z = words.starts[first].tolist(), words.ends[first + count + length - 2].tolist()
-    squeeze = zstandard.ZstdCompressor(level=1).compress
+    a, z = words.starts[first].tolist(), words.ends[first + count + deal.length - 2].tolist()
+    squeeze = zstandard.ZstdCompressor(level=LEVEL).compress
     keys, out = [], []
     for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         strings: dict[bytes, int] = {}
-        index = [strings.setdefault(text[a[k] : z[k]], len(strings)) for k in own.tolist()]
-        head = np.array([len(own), len(strings)], np.int64)
+        index = np.array([strings.setdefault(text[a[k] : z[k]], len(strings)) for k in own.tolist()], np.int32)
         w = which[own]
-        body = b"".join((
-            head.tobytes(), docs[w].tobytes(), hashes[w].tobytes(), place[own].tobytes(), np.array(index, np.int64).tobytes(), b"\n".join(strings),
-        ))
+        places = (np.diff(docs[w], prepend=0), place[own], tags[w].astype(np.int32), np.diff(index, prepend=np.int32(0)))
+        body = b"".join((np.array([len(own)], np.int64).tobytes(), *(x.tobytes() for x in places), b"\n".join(strings)))
         keys.append(int(bucket[own[0]]))
         out.append(squeeze(body))
-    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(out, pa.binary())], ["bucket", "blob"])
+    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.binary())], ["bucket", "blob"])
 
 
 class Bucket:
@@ -188,10 +252,12 @@ class Bucket:
         columns: list[list[np.ndarray]] = [[], [], [], []]
         for blob in packed:
             body = spread(blob)
-            n, _ = np.frombuffer(body, np.int64, 2).tolist()
-            doc, th, start, index = np.frombuffer(body, np.int64, 4 * n, 16).reshape(4, n)
-            ids = np.array([strings.setdefault(s, len(strings)) for s in body[16 + 32 * n :].split(b"\n")], np.int64)
-            for c, x in zip(columns, (doc, th, start, ids[index]), strict=True):
+            n = int(np.frombuffer(body, np.int64, 1)[0])
+            doc = np.cumsum(np.frombuffer(body, np.int64, n, 8))
+            start = np.frombuffer(body, np.int64, n, 8 + 8 * n)
+            th, index = (np.frombuffer(body, np.int32, n, 8 + k * n).astype(np.int64) for k in (16, 20))
+            ids = np.array([strings.setdefault(s, len(strings)) for s in body[8 + 24 * n :].split(b"\n")], np.int64)
+            for c, x in zip(columns, (doc, th, start, ids[np.cumsum(index)]), strict=True):
                 c.append(x)
         self.doc, self.th, self.start, self.string = map(np.concatenate, columns)
         self.text = b" ".join(strings)
@@ -234,7 +300,7 @@ def spans_of(bucket: Bucket, flags: np.ndarray, string: np.ndarray, offset: np.n
     return [bucket.doc[place], bucket.th[place], bucket.start[place] + offset[head[run]], runs[run]]
 
 
-def reduce(packed: DataFrame, buckets: int, of: Callable[[Bucket], list[list[np.ndarray]]], schema: str) -> DataFrame:
+def reduce(packed: DataFrame, deal: Deal, of: Callable[[Bucket], list[list[np.ndarray]]], schema: str) -> DataFrame:
     """``of`` applied to each bucket, one bucket at a time; it returns columns of bigints that ``schema`` names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,19 +322,24 @@ def reduce(packed: DataFrame, buckets: int, of: Callable[[Bucket], list[list[np.
         yield from out()
 
     names = [x.split()[0] for x in schema.split(",")]
+    buckets = deal.buckets + (deal.extra if len(deal.hot) else 0)
     n = min(buckets, max(partitions(packed.sparkSession), buckets // 4))
     return packed.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
-def bucket_count(docs: DataFrame) -> int:
-    """Buckets for the texts of ``docs``, from their bytes: super-k-mers hold about three times the text."""
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def text_bytes(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def bucket_count(total: int) -> int:
+    """Buckets for so many bytes of text: super-k-mers hold about three times the text."""
     return max(8, 3 * total // BUCKET_BYTES)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc, th, text): doc_id as a bigint, after all others if null; a hash of the text; its bytes, of a null none."""
+    """(doc, th, text): doc_id as a bigint, after all others if null; 31 hash bits that tell rows of one doc_id apart; the text's bytes."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"), F.xxhash64("doc_id", text).alias("th"), text.cast("binary").alias("text")
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"),
+        F.xxhash64("doc_id", text).bitwiseAND(F.lit(0x7FFFFFFF).cast("bigint")).alias("th"), text.cast("binary").alias("text"),
     )
