@@ -66,7 +66,9 @@ def repeats(bucket: Bucket, length: int, gram: int) -> list[list[np.ndarray]]:
     return out + [[*x, np.ones(len(x[0]), np.int64)] for x in later(bucket, length)]
 
 
-def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buckets: int | None = None) -> DataFrame:
+def repeated_passages(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buckets: int | None = None, hot_bytes: int = superkmers.HOT_BYTES
+) -> DataFrame:
     """(doc_id, start_word, n_words, n_later): the longest stretches of words that windows which occur elsewhere cover.
 
     A window is ``length`` consecutive words of one text, and it repeats if its words also occur at another place, in any document or
@@ -76,13 +78,15 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, b
     Null and empty texts and texts under ``length`` words have no rows. A null doc_id comes after all others. Rows with equal doc_id and
     text are one place, and give one set of rows. An empty table gives an empty result; other columns are not read. Words are compared as
     they are. The suffixes kept are those at minimisers, about one of 22; each travels with the words around it that windows need, and
-    copies among some megabytes of text travel once, so a hot passage costs a place for each copy.
+    copies among some megabytes of text travel once, so a hot passage costs a place for each copy. Around an anchor that is very frequent
+    windows travel one by one, dealt by their own hash.
     """
     rows = superkmers.keyed(docs)
-    n = buckets or superkmers.bucket_count(rows)
-    packed = superkmers.pack(rows, length, gram, n)
+    n = buckets or superkmers.bucket_count(superkmers.text_bytes(rows))
+    deal = superkmers.plan(rows, length, gram, n, hot_bytes)
+    packed = superkmers.pack(rows, deal)
     schema = "doc bigint, th bigint, start bigint, windows bigint, later bigint"
-    runs = superkmers.reduce(packed, n, lambda b: repeats(b, length, gram), schema)
+    runs = superkmers.reduce(packed, deal, lambda b: repeats(b, length, gram), schema)
     per_doc = (
         runs.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "windows", "later")).alias("x"))
         .select("doc", "th", "x.start", "x.windows", "x.later")
