@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,20 +41,45 @@ def shingles(tokens: Column, width: int, of) -> Column:
     )
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """``df`` cut from its lineage by files in the shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder, made from the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset, as in tests, is a
-    temporary folder of this machine used.
+    Only where that is unset, as in tests, is a temporary folder of this machine used.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """``df`` cut from its lineage by files in the shared checkpoint folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder as compressed Parquet and read again: for wide rows, of which later reads may need few columns.
+
+    The files go when the session ends.
+    """
+    spark = df.sparkSession
+    place = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    df.write.option("compression", "zstd").parquet(place)
+    return spark.read.parquet(place)
+
+
+def set_aside(docs: DataFrame, *needed: str) -> DataFrame:
+    """``docs`` with every column but the needed ones renamed to k0, k1 and so on, so that none clashes with names used on the way.
+
+    ``toDF(*docs.columns)`` undoes it.
+    """
+    return docs.toDF(*(c if c in needed else f"k{k}" for k, c in enumerate(docs.columns)))
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if a count shows at most ``rows`` rows, else unmarked.
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACES, checkpoint, let, small, words
+from tessera.llm.common import SPACES, checkpoint, let, set_aside, small, stored, words
 
 SYMBOLS = "#*$%&|<>"
 
@@ -188,11 +188,12 @@ def judge(rates: DataFrame, fences: DataFrame) -> DataFrame:
 def quality_filter(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (text, lang, source and any other columns) that the rules keep, with the columns of ``docs``.
 
-    A null text counts as empty, and an empty text fails the base rule on words. Columns named ``q_...`` must not be among those of
-    ``docs``. The texts are scanned twice, for the sketches and for the verdicts, and never shuffled.
+    A null text counts as empty, and an empty text fails the base rule on words. Each text is measured once and never shuffled: rows and rates are written to the shared folder, from which the sketches read
+    the rates alone.
     """
-    fences = checkpoint(thresholds(rated(docs.select("text", "lang", "source"))))
-    return judge(rated(docs), fences).where("q_kept").select(*docs.columns)
+    inner = set_aside(docs, "text", "lang", "source")
+    rates = stored(rated(inner))
+    return judge(rates, checkpoint(thresholds(rates))).where("q_kept").select(*inner.columns).toDF(*docs.columns)
 
 
 def quality_table(docs: DataFrame) -> DataFrame:
