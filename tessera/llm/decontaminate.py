@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpoint, let, small, words
+from tessera.llm.common import checkpoint, let, set_aside, small, words
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WIDTH = 5
@@ -97,8 +97,9 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the documents in which ``find_leaks`` finds an item; columns and repeated rows stay as they are."""
-    leaked = checkpoint(find_leaks(docs, items).select(F.col("doc_id").alias("d_leaked")).distinct())
-    return docs.join(small(leaked), F.col("doc_id").eqNullSafe(F.col("d_leaked")), "left_anti")
+    inner = set_aside(docs, "doc_id", "text")
+    leaked = checkpoint(find_leaks(inner, items).select(F.col("doc_id").alias("d_leaked")).distinct())
+    return inner.join(small(leaked), F.col("doc_id").eqNullSafe(F.col("d_leaked")), "left_anti").toDF(*docs.columns)
 
 
 #: DuckDB SQL for ``find_leaks``.

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpoint, partitions, small, words
+from tessera.llm.common import checkpoint, partitions, set_aside, small, words
 
 WEIGHTS = (1, 2, 3)
 REPEATS = 3
@@ -159,7 +159,7 @@ def mix(
     are disjoint, and the splitting tree gives each shard the length of its own run of that list. Documents are drawn whole. Only
     the last block of the partial copy is drawn in part.
 
-    ``docs`` needs doc_id, text and source; other columns pass through, but none may begin with ``x_``. A null or empty text has no
+    ``docs`` needs doc_id, text and source; other columns pass through, but none may begin with ``x_`` (``mixed`` sets them aside). A null or empty text has no
     words; it is drawn with its block. Rows with the same source, doc_id and size are drawn alike. An
     empty table gives an empty result. The same rows and seed always give the same draws. ``base`` may give the narrow (doc_id, source, x_size,
     x_u) of ``docs`` where it has been computed before.
@@ -185,10 +185,11 @@ def mix(
 
 def mixed(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     """The rows of the mix with the columns of ``docs``: each document as often as it is drawn, by shard, in a random order in each."""
-    out = mix(docs, seed=seed, **options).select(*docs.columns, "x_u", F.explode("x_draws").alias("x_draw"))
+    inner = set_aside(docs, "doc_id", "text", "source")
+    out = mix(inner, seed=seed, **options).select(*inner.columns, "x_u", F.explode("x_draws").alias("x_draw"))
     n = max(partitions(docs.sparkSession), options.get("shards", SHARDS))
     place = F.xxhash64(F.lit(seed + 1), "x_u", "x_draw.copy")
-    return out.repartition(n, "x_draw.shard", F.pmod(F.col("x_draw.block"), F.lit(8))).sortWithinPartitions("x_draw.shard", place).select(*docs.columns)
+    return out.repartition(n, "x_draw.shard", F.pmod(F.col("x_draw.block"), F.lit(8))).sortWithinPartitions("x_draw.shard", place).select(*inner.columns).toDF(*docs.columns)
 
 
 def mix_table(docs: DataFrame) -> DataFrame:

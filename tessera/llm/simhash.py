@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpoint, partitions
+from tessera.llm.common import checkpoint, partitions, set_aside
 from tessera.llm.components import connected_components
 
 WIDTH = 3
@@ -175,14 +175,13 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
     Rows without doc_id stay only in components where no row has one, again one each. Columns are those of ``docs``.
     """
-    found = near_duplicates(docs)
+    inner = set_aside(docs, "doc_id", "text")
+    found = near_duplicates(inner)
     chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("s_id")).distinct()
-    kept = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("s_id")), "left_semi")
-    repeated = checkpoint(
-        kept.select("doc_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("s_id"))
-    )
-    if repeated.isEmpty():
-        return kept
-    same = F.col("doc_id").eqNullSafe(F.col("s_id"))
-    first = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, same, "left_anti").unionByName(first)
+    kept = inner.join(chosen, F.col("doc_id").eqNullSafe(F.col("s_id")), "left_semi")
+    repeated = checkpoint(kept.select("doc_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("s_id")))
+    if not repeated.isEmpty():
+        same = F.col("doc_id").eqNullSafe(F.col("s_id"))
+        first = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id"])
+        kept = kept.join(repeated, same, "left_anti").unionByName(first)
+    return kept.toDF(*docs.columns)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import components, decontaminate, html, mixing, quality, secrets, sharding, simhash, substrings, suffixes, superkmers, urls
 
-SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size string, shard string"
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size string, shard string, q_kept string, x_size string, s_id string, d_leaked string"
 RNG = np.random.default_rng(5)
 VOCABULARY = [f"w{k}" for k in range(60)]
 
@@ -28,8 +28,8 @@ def corpus():
     texts = [prose(40 + 13 * k % 300, k) for k in range(40)]
     texts += [texts[3], texts[3], texts[4] + " tail", f"{prose(30, 100)} {PASSAGE} {prose(30, 101)}", f"{prose(9, 102)}\n{PASSAGE}", PASSAGE + " " + PASSAGE]
     texts += [None, "", " \t\n", "one", "a b", "x " * 500, "été " * 30 + "#$%", "Straße İ A B C", prose(6000, 200)]
-    rows = [(k, t, ("en", "de", None)[k % 3], ("s1", "s2", None, "é")[k % 4], None, "clash", "clash") for k, t in enumerate(texts)]
-    return rows + [rows[5], rows[5], (None, texts[6], "en", "s1", 3, None, None)]
+    rows = [(k, t, ("en", "de", None)[k % 3], ("s1", "s2", None, "é")[k % 4], None, *["clash"] * 6) for k, t in enumerate(texts)]
+    return rows + [rows[5], rows[5], (None, texts[6], "en", "s1", 3, *[None] * 6)]
 
 
 @pytest.fixture(scope="module")
@@ -187,8 +187,8 @@ def brute_windows(rows, length):
     return seen
 
 
-@pytest.mark.parametrize("length,gram,buckets", [(20, 3, 3), (5, 2, 1), (8, 3, 40)])
-def test_substrings(docs, empty, length, gram, buckets):
+@pytest.mark.parametrize("length,gram,buckets,hot", [(20, 3, 3, 1 << 30), (5, 2, 1, 1 << 30), (8, 3, 40, 1 << 30), (8, 3, 9, 3000), (20, 3, 3, 0)])
+def test_substrings(docs, empty, length, gram, buckets, hot):
     rows = [(r[0], r[1]) for r in corpus()]
     seen = brute_windows(set(rows), length)
     want = Counter()
@@ -200,7 +200,7 @@ def test_substrings(docs, empty, length, gram, buckets):
                 gone.update(range(k, k + length))
         kept = b" ".join(x for k, x in enumerate(w) if k not in gone)
         want[(doc, len(w), len(gone), hashlib.sha256(kept).hexdigest())] += 1
-    assert Counter(tuple(r) for r in substrings.deduplicate(docs, length, gram, buckets).collect()) == want
+    assert Counter(tuple(r) for r in substrings.deduplicate(docs, length, gram, buckets, hot_bytes=hot).collect()) == want
     assert substrings.deduplicate(empty).collect() == []
 
 
@@ -212,7 +212,7 @@ def test_substrings_long_text(spark, monkeypatch):
     held = [(0, 0, k, own[k : k + 50 + 19]) for k in range(0, len(own) - 19, 50)]
     found = set()
     packed = {}
-    for batch in superkmers.blobs([h for h in held if len(h[3]) >= 20], 20, 3, 4):
+    for batch in superkmers.blobs([h for h in held if len(h[3]) >= 20], superkmers.Deal(20, 3, 4)):
         for key, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             packed.setdefault(key, []).append(blob)
     for group in packed.values():
@@ -222,8 +222,8 @@ def test_substrings_long_text(spark, monkeypatch):
     assert found == {k for places in seen.values() for (_, k) in places if k > min(p[1] for p in places)}
 
 
-@pytest.mark.parametrize("length,gram", [(50, 8), (12, 4)])
-def test_passages(docs, empty, length, gram):
+@pytest.mark.parametrize("length,gram,hot", [(50, 8, 1 << 30), (12, 4, 1 << 30), (12, 4, 5000), (50, 8, 0)])
+def test_passages(docs, empty, length, gram, hot):
     rows = {(r[0], r[1]) for r in corpus()}
     seen = brute_windows(rows, length)
     want = set()
@@ -240,7 +240,7 @@ def test_passages(docs, empty, length, gram):
         for a in starts:
             z = next(k for k in range(a, len(w) + 1) if k not in cover)
             want.add((doc, a, z - a, len(late & set(range(a, z)))))
-    got = [tuple(r) for r in suffixes.repeated_passages(docs, length, gram, 3).collect()]
+    got = [tuple(r) for r in suffixes.repeated_passages(docs, length, gram, 3, hot).collect()]
     assert Counter(got) == Counter(want) and any(r[2] >= 70 for r in want)
     assert suffixes.repeated_passages(empty).collect() == []
 
