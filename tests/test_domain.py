@@ -78,7 +78,7 @@ def test_moves(spark):
 
 
 DB = (
-    "#YANEURAOU-DB2016 1.00\r\n# NOE:2\r\nsfen a b - 1\r\n7g7f 3c3d 10 3 2\r\n# note\r\n2g2f none 5 3 1\r\n7g7f none 30 4 5\r\n"
+    book_files.DB_HEADER + "\r\n# NOE:2\r\nsfen a b - 1\r\n7g7f 3c3d 10 3 2\r\n# note\r\n2g2f none 5 3 1\r\n7g7f none 30 4 5\r\n"
     "// x\r\n\r\nsfen c w - 2\r\n3c3d,none,None,1\r\n8c8d none -7\r\n"
 )
 
@@ -94,7 +94,7 @@ def test_db_book(spark, tmp_path):
     assert book_files.read_db(spark, str(tmp_path / "book.db"), miner=True).where("move = '3c3d'").isEmpty()
     book_files.write_db(book_files.read_db(spark, str(tmp_path / "book.db")), str(tmp_path / "out"))
     text = b"".join(p.read_bytes() for p in sorted((tmp_path / "out").glob("part-*")))
-    assert text.startswith(b"#YANEURAOU-DB2016 1.00\r\nsfen a b - 1\r\n7g7f none 30 4 5\r\n") and text.count(b"sfen ") == 2
+    assert text.startswith(book_files.DB_HEADER.encode() + b"\r\nsfen a b - 1\r\n7g7f none 30 4 5\r\n") and text.count(b"sfen ") == 2
 
 
 def test_ybb_book(spark, tmp_path):
