@@ -21,7 +21,14 @@ ASSIGN_LEAST = 12
 KINDS = ("assign", "access", "hex", "token", "key")
 
 JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
-BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-](?:[A-Za-z0-9+/_-]|\r?\n(?=[A-Za-z0-9+/_-]{16})){31,}={0,2}")
+#: The first base64 characters of a DER private key (a sequence whose first element is a version, INTEGER 0 or 1), by the form of its length, and
+#: OpenSSH's magic. A key may begin anywhere, also after a character of the alphabet.
+KEY_START = re.compile(r"M(?:[A-H][AEIMQUYcgkosw048]CAQ[A-H]|I(?:[GH].AgE[AB]|[I-L]..[AQgw]IBA|[M-T]))|b3BlbnNzaC1rZXktdjEA")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]+")
+#: What may part the lines of a key: line ends, also written as escapes, with indentation.
+LINE_END = re.compile(r"[\x20\t]*(?:\r\n?|\n|(?:\\r)?\\n)[\x20\t]*")
+PADDING = re.compile(r"={0,2}")
+GOES_ON = re.compile(r"[A-Za-z0-9+]")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){16,}(?![0-9A-Fa-f])")
 
 #: Object identifiers of key algorithms (RSA, EC, Ed25519, X25519, Ed448, X448, DSA, DH), DER contents.
@@ -91,34 +98,81 @@ def is_der_key(data: bytes) -> bool:
     if tags[1:3] == [0x30, 0x04] and version in (b"\x00", b"\x01"):
         algorithm = children(data, parts[1][1], parts[1][2])
         return bool(algorithm) and algorithm[0][0] == 0x06 and data[algorithm[0][1] : algorithm[0][2]] in KEY_OIDS
-    if len(tags) >= 9 and set(tags[:9]) == {0x02} and version in (b"\x00", b"\x01"):
-        return True
+    if len(tags) >= 9 and set(tags[:9]) == {0x02}:  # version 1 has the infos of further primes, version 0 has none
+        return (version, tags[9:]) in ((b"\x00", []), (b"\x01", [0x30]))
     return tags[:2] == [0x02, 0x04] and version == b"\x01" and parts[1][2] - parts[1][1] in (28, 32, 48, 66)
 
 
-def is_ssh_key(data: bytes) -> bool:
-    """An OpenSSH private key: its magic, then strings whose lengths lie within it."""
+def ssh_end(data: bytes) -> int | None:
+    """Where the OpenSSH private key at the start of ``data`` ends: its magic, then strings whose lengths lie within it; None if there is none."""
     if not data.startswith(OPENSSH):
-        return False
+        return None
     at = len(OPENSSH)
     for _ in range(3):  # cipher, key derivation and its options
         n = int.from_bytes(data[at : at + 4], "big")
         at += 4 + n
         if at + 4 > len(data):
-            return False
-    n, at = int.from_bytes(data[at : at + 4], "big"), at + 4
-    if not 1 <= n <= 64:
-        return False
-    n = int.from_bytes(data[at : at + 4], "big")
-    blob = data[at + 4 : at + 4 + n]
-    name = blob[4 : 4 + int.from_bytes(blob[:4], "big")]
-    return len(blob) == n and name in SSH_NAMES
+            return None
+    keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
+    if not 1 <= keys <= 64:
+        return None
+    for k in range(keys):
+        n = int.from_bytes(data[at : at + 4], "big")
+        blob = data[at + 4 : at + 4 + n]
+        name = blob[4 : 4 + int.from_bytes(blob[:4], "big")]
+        if len(blob) != n or k == 0 and name not in SSH_NAMES:
+            return None
+        at += 4 + n
+    end = at + 4 + int.from_bytes(data[at : at + 4], "big")  # the private part
+    return end if at + 4 < end <= len(data) else None
+
+
+def is_ssh_key(data: bytes) -> bool:
+    return ssh_end(data) is not None
 
 
 def is_key(data: bytes | None) -> bool:
     return data is not None and len(data) >= 16 and (is_der_key(data) or is_ssh_key(data))
 
 
+def body(text: str, at: int, most: int) -> tuple[str, int]:
+    """Up to ``most`` base64 characters from ``at`` on, over line ends, and where they end in the text."""
+    parts, end = [], at
+    while most and (m := BASE64.match(text, at, min(len(text), at + most))):
+        parts.append(m[0])
+        most -= len(m[0])
+        end = m.end()
+        if not (gap := LINE_END.match(text, end)):
+            break
+        at = gap.end()
+    return "".join(parts), end
+
+
+def key_end(text: str, at: int) -> int | None:
+    """Where the base64 of the private key at ``at`` ends, padding included; None if no key begins there.
+
+    The key's own lengths say how many characters belong to it, so its lines may have any length and its last one may be short.
+    """
+    if text[at] == "b":
+        run = body(text, at, len(text))[0]
+        if "-----" in run:
+            run = run[: run.index("-----")]
+        data = decode64(run[: len(run) // 4 * 4 + (len(run) % 4 if len(run) % 4 > 1 else 0)])
+        size = data and ssh_end(data)
+    else:
+        head = decode64(body(text, at, 8)[0])
+        top = der(head, 0, len(text)) if head and len(head) == 6 else None
+        size = top and top[2]
+    if not size:
+        return None
+    n = -(-size * 4 // 3)
+    run, end = body(text, at, n)
+    if len(run) < n or not is_key(decode64(run)):
+        return None
+    end = PADDING.match(text, end).end()
+    return None if GOES_ON.match(text, end) else end
+
+
 def is_signed_token(header: str, payload: str, signature: str) -> bool:
     """A JSON web signature: header and payload decode to JSON objects, the header names its algorithm and the signature is bytes."""
     try:
@@ -140,11 +194,11 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the encoded candidates whose decoded structure proves a token or a private key."""
     out = [(*m.span(), "token") for m in JWT.finditer(text) if is_signed_token(*m.groups())]
-    for m in BASE64_RUN.finditer(text):
-        run = m[0]
-        first = "MC" if run[:1] == "M" else run[:3]
-        if (first == "MC" or first == "b3B") and is_key(decode64(run)):  # DER sequences begin with M, OpenSSH's magic with b3B
-            out.append((*m.span(), "key"))
+    done = 0
+    for m in KEY_START.finditer(text):
+        if m.start() >= done and (end := key_end(text, m.start())):
+            out.append((m.start(), end, "key"))
+            done = end
     for m in HEX_RUN.finditer(text):
         if m[0][:2].lower() in ("30", "6f") and is_key(bytes.fromhex(m[0])):
             out.append((*m.span(), "key"))

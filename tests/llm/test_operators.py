@@ -351,6 +351,44 @@ def test_secrets_structure():
     assert secrets.confirmed_spans(f"{part({'alg': 'none'})}.{part({})}.") == [] and secrets.confirmed_spans("a.b.c " + "QUJD" * 40) == []
 
 
+def pem(name, data, width=64, end="\n"):
+    import base64
+
+    body = base64.b64encode(data).decode()
+    return end.join([f"-----BEGIN {name}-----", *(body[k : k + width] for k in range(0, len(body), width)), f"-----END {name}-----"])
+
+
+def private_keys():
+    seed, number = bytes(range(32)), lambda k: der(2, bytes([k + 1]) * 40)
+    rsa = der(0x30, der(2, b"\0") + b"".join(map(number, range(8))))
+    string = lambda x: len(x).to_bytes(4, "big") + x
+    public = string(b"ssh-ed25519") + string(seed)
+    ssh = b"openssh-key-v1\0" + string(b"none") * 2 + string(b"") + (1).to_bytes(4, "big") + string(public) + string(bytes(8) + public + string(seed * 2) + b"\1\2\3")
+    return {
+        "PRIVATE KEY": der(0x30, der(2, b"\0") + der(0x30, der(6, bytes.fromhex("2a864886f70d010101")) + der(5, b"")) + der(4, rsa)),
+        "RSA PRIVATE KEY": rsa,
+        "EC PRIVATE KEY": der(0x30, der(2, b"\1") + der(4, seed) + der(0xA0, der(6, bytes.fromhex("2a8648ce3d030107")))),
+        "OPENSSH PRIVATE KEY": ssh,
+    }
+
+
+@pytest.mark.parametrize("name", private_keys())
+def test_secrets_pem(name):
+    import base64
+
+    key = private_keys()[name]
+    keys = lambda text: [text[a:b] for a, b, kind in secrets.confirmed_spans(text) if kind == "key"]
+    for width in (48, 64, 76):
+        for end in ("\n", "\r\n", "\n    ", "\\n"):
+            text = f"before{end}{pem(name, key, width, end)}{end}after"
+            assert keys(text) == [text[text.index("KEY-----") + 8 + len(end) : text.rindex(f"{end}-----END")]]
+    bare = base64.b64encode(key).decode()
+    wrapped = "\n".join(bare[k : k + 60] for k in range(0, len(bare), 60))
+    for before in ("key ", "a/", "--", "x_", "word\n", "KEY-----"):
+        assert keys(before + bare) == [bare] and keys(f"{before}{wrapped}\nword") == [wrapped]
+    assert keys(pem(name, key[:-2])) == []
+
+
 def test_secrets_table(docs, empty):
     rows = secrets.scan(docs).collect()
     assert len(rows) == len(corpus()) and {r.base_sha256 for r in rows if not r.spans} == {hashlib.sha256(b"").hexdigest()}
