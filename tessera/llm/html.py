@@ -162,6 +162,20 @@ def common(a: list, b: list, at: int = 0) -> list[int]:
     return edges + common(a[:mid], b[:cut], at) + common(a[mid:], b[cut:], at + mid) + last
 
 
+def templated(core: list[str], around: list[list[str]]) -> set[int]:
+    """The places in a page's core of lines that both its neighbours' cores have at the same place, counted from the start or from the end.
+
+    Neighbours with half of the core's lines or more are versions of the page and prove nothing, and neither does a single neighbour.
+    """
+    if len(around) < 2 or any(2 * len(common(core, y)) >= max(len(core), len(y)) for y in around):
+        return set()
+    n = len(core)
+    return {
+        k for k, t in enumerate(core)
+        if all(k < len(y) and y[k] == t for y in around) or all(n - k <= len(y) and y[k - n] == t for y in around)
+    }
+
+
 def _order(pages: DataFrame) -> list:
     """Sort key of a page: host, path, url and a hash that tells pages of one url apart."""
     url = F.col("url")
@@ -190,12 +204,12 @@ def cuts(pages: DataFrame, n: int) -> tuple[list[tuple], list[tuple]]:
 def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
     """(page_id, url, text, n_chars) for each row of ``pages``: the main text, blocks joined by line feeds, and its code points.
 
-    Markup comes first. Blocks within ``article`` or ``main`` are the text, except those in menus, footers, asides, forms and elements
-    whose class, id or role names a menu, header, footer, sidebar, notice, advert or reader comments. On a page without
-    ``article`` and ``main``, blocks outside such elements are open. Differencing decides these: pages of a host are sorted by
-    path, and a block is deleted if a longest common subsequence of the page's lines and those of the page before or after it
-    contains the block. A neighbour with exactly the same lines is a copy, not a template, and deletes nothing. Lines within
-    ``article`` are not deleted when neighbours share them, because pages also share passages.
+    Markup comes first. Blocks in menus, footers, asides, forms and elements whose class, id or role names a menu, header, footer,
+    sidebar, notice, advert or reader comments are not the text. Of the others, those within ``article`` or ``main`` are its core,
+    the rest are open. Differencing then runs on every page: pages of a host are sorted by path, and an open block is deleted if a
+    longest common subsequence of the page's lines and those of the page before or after it contains the block. A neighbour with
+    exactly the same lines is a copy, not a template, and deletes nothing. Pages also share passages, so a core block is
+    deleted only by ``templated``.
 
     A null or empty page has an empty text. Pages without a host (a null url, or one without ``://``) have no neighbours. Rows
     with equal page_id and url stay separate rows. An empty table gives an empty result; other columns are not read.
@@ -239,7 +253,7 @@ def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
         def read(x: dict) -> dict:
             body = spread(x["body"]).decode("utf-8", "surrogatepass")
             found = [(int(s[0]), s[1:]) for s in body.split("\n") if s]
-            x["core"] = any(z == ARTICLE for z, _ in found)
+            x["core"] = [t for z, t in found if z == ARTICLE]
             x["lines"] = found
             return x
 
@@ -247,14 +261,16 @@ def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
             return y is not None and x["h"] != "" and (x["r"], x["h"]) == (y["r"], y["h"]) and x["lines"] != y["lines"]
 
         def text(x: dict, around: tuple) -> str:
-            if x["core"]:
-                return "\n".join(t for z, t in x["lines"] if z == ARTICLE)
             own = [t for _, t in x["lines"]]
-            shared: set[int] = set()
-            for y in around:
-                if beside(x, y):
-                    shared.update(common(own, [t for _, t in y["lines"]]))
-            return "\n".join(t for k, (z, t) in enumerate(x["lines"]) if z == OPEN and k not in shared)
+            near = [y for y in around if beside(x, y)]
+            gone: set[int] = set()
+            if any(z == OPEN for z, _ in x["lines"]):
+                for y in near:
+                    gone.update(common(own, [t for _, t in y["lines"]]))
+                gone = {k for k in gone if x["lines"][k][0] == OPEN}
+            places = [k for k, (z, _) in enumerate(x["lines"]) if z == ARTICLE]
+            gone.update(places[k] for k in templated(x["core"], [y["core"] for y in near]))
+            return "\n".join(t for k, (z, t) in enumerate(x["lines"]) if z != BOILERPLATE and k not in gone)
 
         done: list[tuple] = []
 

@@ -461,3 +461,23 @@ def test_html_differencing(spark, ranges):
     assert all(got[k].split("\n")[0] == (f"story {k}" if k % 3 else f"tale {k}") and "Home" not in got[k] and "rights" not in got[k] for k in range(20))
     assert [got[k] for k in range(90, 96)] == ["alone", "only", "copy", "copy", "", ""]
     assert html.extract(pages.limit(0), ranges).collect() == []
+
+
+def test_html_differencing_with_article(spark):
+    def page(k):
+        card = f"<article>card {k}</article>"
+        return f"<div>Home | News</div><div>body {k}</div><div>more {k}</div>{card}<div>All rights reserved</div>"
+
+    def article(k):
+        passage = "<p>shared passage</p>" if k in (3, 4) else ""
+        return f"<article><h1>title {k}</h1><div>Before you read</div><p>one {k}</p>{passage}{'<p>x</p>' * (k % 2)}<p>two {k}</p><p>three {k}</p><div>Tell a friend</div></article>"
+
+    rows = [(k, f"http://a.org/{k:02}", page(k)) for k in range(6)] + [(10 + k, f"http://b.org/{k:02}", article(k)) for k in range(6)]
+    same = "<article><p>one</p><p>two</p><p>three</p><p>seen {}</p></article>"
+    rows += [(20 + k, f"http://c.org/{k}", same.format(k)) for k in range(3)]
+    got = {r.page_id: r.text.split("\n") for r in html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string"), 3).collect()}
+    for k in range(6):
+        assert got[k] == [f"body {k}", f"more {k}", f"card {k}"]
+    for k in range(1, 5):
+        assert got[10 + k] == [f"title {k}", f"one {k}", *["shared passage"] * (k in (3, 4)), *["x"] * (k % 2), f"two {k}", f"three {k}"]
+    assert [got[20 + k] for k in range(3)] == [["one", "two", "three", f"seen {k}"] for k in range(3)]
