@@ -26,17 +26,20 @@ def windows(tokens: Column, width: Column, of) -> Column:
     )
 
 
-def item_classes(items: DataFrame) -> DataFrame:
-    """(item_id, d_width, d_grams): one row per distinct word sequence, named by its smallest item_id.
+def item_words(items: DataFrame) -> DataFrame:
+    """(item_id, d_ws): the words of each item that has any."""
+    return items.select("item_id", lowered(F.col("text")).alias("d_ws")).where(F.size("d_ws") > 0)
 
-    An item of fewer than five words is one shingle of all its words; an item without words has no row.
-    """
-    seqs = items.select("item_id", lowered(F.col("text")).alias("d_ws")).where(F.size("d_ws") > 0)
+
+def described(classes: DataFrame) -> DataFrame:
+    """(item_id, d_width, d_grams) of rows (item_id, d_ws); an item of fewer than five words is one shingle of all its words."""
     width = F.least(F.size("d_ws"), F.lit(WIDTH))
-    return (
-        seqs.groupBy("d_ws").agg(F.min("item_id").alias("item_id"))
-        .select("item_id", width.alias("d_width"), F.array_distinct(windows(F.col("d_ws"), width, lambda w: F.array_join(w, " "))).alias("d_grams"))
-    )
+    return classes.select("item_id", width.alias("d_width"), F.array_distinct(windows(F.col("d_ws"), width, lambda w: F.array_join(w, " "))).alias("d_grams"))
+
+
+def item_classes(items: DataFrame) -> DataFrame:
+    """(item_id, d_width, d_grams): one row per distinct word sequence, named by its smallest item_id; an item without words has no row."""
+    return described(item_words(items).groupBy("d_ws").agg(F.min("item_id").alias("item_id")))
 
 
 def sketches(classes: DataFrame) -> DataFrame:
@@ -69,8 +72,25 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     a shuffle of hashes otherwise. The pairs found are then verified on the shingles' words: texts with candidates meet
     their items by doc_id and item_id.
     """
-    docs, items = docs.select("doc_id", "text"), items.select("item_id", "text")
-    classes = checkpoint(item_classes(items))
+    return class_leaks(docs.select("doc_id", "text"), checkpoint(item_classes(items.select("item_id", "text"))))
+
+
+def find_member_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``find_leaks`` for every item: those with equal words are searched once, and each of their ids has its own row.
+
+    An item_id that stands for several texts has a row for each of them that is found.
+    """
+    words_of = item_words(items.select("item_id", "text"))
+    classes = checkpoint(words_of.select("d_ws").distinct().withColumn("d_class", F.monotonically_increasing_id()))
+    members = checkpoint(words_of.join(classes, "d_ws").select("d_class", F.col("item_id").alias("d_member")).distinct())
+    found = class_leaks(docs.select("doc_id", "text"), checkpoint(described(classes.select(F.col("d_class").alias("item_id"), "d_ws"))))
+    return found.join(small(members), F.col("item_id") == F.col("d_class")).select(
+        "doc_id", F.col("d_member").alias("item_id"), "n_shingles", "n_found", "containment"
+    )
+
+
+def class_leaks(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``find_leaks`` for checkpointed classes (item_id, d_width, d_grams)."""
     sketch = checkpoint(sketches(classes))
     widths = [r.d_width for r in classes.select("d_width").distinct().collect()]  # 1 to 5: five rows at most
     small_sketch = small(sketch)

@@ -12,7 +12,7 @@ def op1_extract(spark, sf_dir):
 
 
 def op2_decontaminate(spark, sf_dir):
-    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_member_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op3_mix(spark, sf_dir):

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tessera.llm import components, decontaminate, html, mixing, quality, secrets, sharding, simhash, substrings, suffixes, superkmers, urls
+from tessera.llm import components, decontaminate, html, mixing, quality, queries, secrets, sharding, simhash, substrings, suffixes, superkmers, urls
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size string, shard string, q_kept string, x_size string, s_id string, d_leaked string"
 RNG = np.random.default_rng(5)
@@ -178,6 +178,17 @@ def test_decontaminate(spark, empty):
     assert decontaminate.decontaminate(d, benchmark.limit(0)).count() == len(rows)
 
 
+def test_member_leaks(spark, empty, tmp_path):
+    docs = [(0, "x " + ITEMS[0][1]), (1, "a w1 w2 b"), (2, prose(40, 5))]
+    items = [*ITEMS, (8, " w1\tW2\n"), (2, "W1 w2"), (9, "w1 W2"), (9, ITEMS[0][1])]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = Counter(tuple(r) for r in queries.op2_decontaminate(spark, str(tmp_path)).collect())
+    assert got == Counter([(0, k, 26, 26, 1.0) for k in (1, 3, 9)] + [(1, k, 1, 1, 1.0) for k in (2, 8, 9)])
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    assert decontaminate.find_member_leaks(empty, benchmark).collect() == []
+
+
 def brute_windows(rows, length):
     seen = {}
     for doc, text in sorted((r for r in rows), key=lambda r: (r[0] is None, r[0] or 0)):
