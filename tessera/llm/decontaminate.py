@@ -1,4 +1,4 @@
-"""Benchmark decontamination: MinHash containment search by size class, verified on exact shingles."""
+"""Benchmark decontamination: MinHash containment search in size partitions of the items, verified on exact shingles."""
 
 from __future__ import annotations
 
@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import checkpoint, let, set_aside, small, words
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WIDTH = 5
 CONTAINMENT = 0.8
+#: Size partitions of the items, of about equally many each.
+PARTITIONS = 16
 
 
 def lowered(text: Column) -> Column:
-    return words(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER))
+    return words(F.lower(F.coalesce(text, F.lit(""))))
 
 
 def windows(tokens: Column, width: Column, of) -> Column:
@@ -42,17 +43,35 @@ def item_classes(items: DataFrame) -> DataFrame:
     return described(item_words(items).groupBy("d_ws").agg(F.min("item_id").alias("item_id")))
 
 
-def sketches(classes: DataFrame) -> DataFrame:
-    """(d_width, d_hash, item_id): the bottom of each item's MinHash order, as deep as the item's size class needs.
+def size_bounds(classes: DataFrame, parts: int = PARTITIONS) -> list[int]:
+    """The greatest number of shingles in each size partition, ascending: quantiles of the items' sizes, ``parts`` numbers at most."""
+    n = F.size("d_grams")
+    t = classes.agg(F.percentile_approx(n, [k / parts for k in range(1, parts)], 10_000).alias("q"), F.max(n).alias("most")).first()
+    return sorted({*(t.q or []), t.most}) if t.most else []
+
+
+def least_found(n: Column) -> Column:
+    """How many of ``n`` shingles a text must have: 80 %, rounded up."""
+    return F.ceil(n * F.lit(CONTAINMENT) - F.lit(1e-9)).cast("int")
+
+
+def sketches(classes: DataFrame, bounds: list[int]) -> DataFrame:
+    """(d_part, d_width, d_hash, item_id, d_least): the items' bottom-k MinHash sketches, with k fixed for each size partition.
 
     A text with at least 80 % of an item's n shingles lacks at most ``n - ceil(0.8 n)`` of them, so one at least of the item's
-    ``n - ceil(0.8 n) + 1`` least shingle hashes is in the text. Sketches of that depth miss nothing, however long the text is, where
-    MinHash similarity of an item and a long text would tend to zero.
+    ``n - ceil(0.8 n) + 1`` least shingle hashes is in the text. A partition's k is that number for its greatest size, so its
+    sketches miss no item of it, however long the text is, where MinHash similarity of an item and a long text would tend to zero.
+    ``d_least`` is the least number of shingles that any item of the partition asks of a text.
     """
     n = F.size("d_grams")
-    depth = n - F.ceil(n * F.lit(CONTAINMENT) - F.lit(1e-9)).cast("int") + 1
+    part, depth, least = F.lit(0), F.lit(1), F.lit(1)
+    for k, (below, top) in enumerate(zip([0, *bounds], bounds, strict=False)):
+        inside = n > below
+        part = F.when(inside, F.lit(k)).otherwise(part)
+        depth = F.when(inside, F.lit(top) - least_found(F.lit(top)) + 1).otherwise(depth)
+        least = F.when(inside, least_found(F.lit(below + 1))).otherwise(least)
     hashes = F.array_sort(F.transform("d_grams", lambda g: gram_hash(F.split(g, " "))))
-    return classes.select("d_width", "item_id", F.explode(F.slice(hashes, 1, depth)).alias("d_hash"))
+    return classes.select(part.alias("d_part"), "d_width", "item_id", least.alias("d_least"), F.explode(F.slice(hashes, 1, depth)).alias("d_hash"))
 
 
 def gram_hash(gram: Column) -> Column:
@@ -63,14 +82,15 @@ def gram_hash(gram: Column) -> Column:
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_found, containment): texts that contain at least 80 % of an item's distinct five-word shingles.
 
-    Words are compared with A-Z in lower case. ``item_id`` names a class of items with equal words, by the smallest of their ids.
+    Words are compared in lower case, letters of any alphabet included. ``item_id`` names a class of items with equal words, by the smallest of their ids.
     Null and empty texts contain nothing; items without words are contained nowhere; an item of fewer words than five counts as contained where all its words
     stand in a row. Repeated rows of ``docs`` with one doc_id count as one document, of which all texts count. Empty tables give an
     empty result. Only doc_id and text, item_id and text are read.
 
-    Each text is scanned whole: its shingle hashes meet the items' sketches, which are broadcast if a count shows that they are few and joined by
-    a shuffle of hashes otherwise. The pairs found are then verified on the shingles' words: texts with candidates meet
-    their items by doc_id and item_id.
+    Each text is scanned whole. Its own sketches are its shingle hashes up to the greatest hash in a partition's sketches, for the partitions
+    whose items aren't too large for it; they meet the items' there. Items' sketches are broadcast if they are few and small by count, and joined by
+    a shuffle of hashes otherwise. The pairs found are then verified on the shingles' words: the ids of texts with candidates are
+    broadcast likewise, so only those texts move.
     """
     return class_leaks(docs.select("doc_id", "text"), checkpoint(item_classes(items.select("item_id", "text"))))
 
@@ -91,19 +111,22 @@ def find_member_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def class_leaks(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The rows of ``find_leaks`` for checkpointed classes (item_id, d_width, d_grams)."""
-    sketch = checkpoint(sketches(classes))
-    widths = [r.d_width for r in classes.select("d_width").distinct().collect()]  # 1 to 5: five rows at most
+    sketch = checkpoint(sketches(classes, size_bounds(classes)))
+    cuts = sketch.groupBy("d_width").agg(F.max("d_hash").alias("top"), F.min("d_least").alias("least")).orderBy("d_width").collect()  # widths 1 to 5
     small_sketch = small(sketch)
     found = None
-    for width in sorted(widths):
-        hashes = docs.select("doc_id", F.explode(windows(lowered(F.col("text")), F.lit(width), gram_hash)).alias("d_hash"))
-        hits = hashes.join(small_sketch.where(F.col("d_width") == width), "d_hash").select("doc_id", "item_id")
+    for c in cuts:
+        grams = docs.select("doc_id", windows(lowered(F.col("text")), F.lit(c.d_width), gram_hash).alias("d_all")).where(F.size("d_all") >= c.least)
+        hashes = grams.select("doc_id", F.size("d_all").alias("d_n"), F.explode(F.filter("d_all", lambda h: h <= F.lit(c.top))).alias("d_hash"))  # noqa: B023
+        hits = hashes.join(small_sketch.where(F.col("d_width") == c.d_width), "d_hash").where("d_n >= d_least").select("doc_id", "item_id")
         found = hits if found is None else found.unionAll(hits)
     if found is None:
         found = docs.select("doc_id").crossJoin(classes.select("item_id")).limit(0)
     candidates = checkpoint(found.distinct())
+    held = small(candidates.select(F.col("doc_id").alias("d_doc")).distinct())
+    texts = docs.join(held, docs["doc_id"].eqNullSafe(held["d_doc"]), "left_semi")
     grams = (
-        candidates.join(docs, candidates["doc_id"].eqNullSafe(docs["doc_id"])).select(candidates["doc_id"], "item_id", "text")
+        candidates.join(texts, candidates["doc_id"].eqNullSafe(texts["doc_id"])).select(candidates["doc_id"], "item_id", "text")
         .join(small(classes), "item_id")
         .select("doc_id", "item_id", "d_grams", windows(lowered(F.col("text")), F.col("d_width"), lambda w: F.array_join(w, " ")).alias("d_own"))
     )
@@ -122,12 +145,11 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     return inner.join(small(leaked), F.col("doc_id").eqNullSafe(F.col("d_leaked")), "left_anti").toDF(*docs.columns)
 
 
-#: DuckDB SQL for ``find_leaks``.
-ORACLE = """WITH i AS (SELECT min(item_id) AS item_id, ws FROM (
-SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM benchmark) WHERE len(ws) > 0 GROUP BY ws),
+#: DuckDB SQL for ``find_member_leaks``.
+ORACLE = """WITH i AS (SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM benchmark),
 d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 ig AS (SELECT DISTINCT item_id, w, array_to_string(ws[k:k + w - 1], ' ') AS g FROM (
-SELECT item_id, ws, least(len(ws), 5) AS w, unnest(range(1, CAST(len(ws) - least(len(ws), 5) + 2 AS BIGINT))) AS k FROM i)),
+SELECT item_id, ws, least(len(ws), 5) AS w, unnest(range(1, CAST(len(ws) - least(len(ws), 5) + 2 AS BIGINT))) AS k FROM i WHERE len(ws) > 0)),
 dg AS (SELECT DISTINCT doc_id, w, array_to_string(ws[k:k + w - 1], ' ') AS g FROM (
 SELECT doc_id, ws, w, unnest(range(1, CAST(len(ws) - w + 2 AS BIGINT))) AS k FROM d, (SELECT DISTINCT w FROM ig) WHERE len(ws) >= w)),
 n AS (SELECT item_id, count(*) AS n_shingles FROM ig GROUP BY item_id),

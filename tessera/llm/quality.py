@@ -35,16 +35,18 @@ RULES = (
     Rule("repeat_rate", 80),
 )
 REACH = 4
-#: Groups with fewer documents use the sketch of their language; if that has too few as well, the sketch of all.
-LEAST_DOCS = 200
+#: A language's quartiles count as much as so many documents of each of its groups, and those of all documents as much as so many of a language.
+#: So the fewer documents a group has, the more it is judged by its language, by degrees and alike at every size.
+PRIOR_DOCS = 200
 
 
 def measures(text: Column) -> Column:
     """A struct of the base counts of one text: all bigint; a null text counts as empty.
 
     Repeated 3-word windows are found without a join: each window's hash and its position are packed into
-    one bigint, of which only as many low bits as the text needs hold the position; the array is sorted, equal
-    neighbours give the positions of repeated windows, and the words these cover are counted from the gaps between them.
+    one bigint, of which only as many low bits as the text needs hold the position, and the array is sorted. Windows whose hashes are
+    neighbours are compared word by word; should hashes have met by chance, the text's windows are sorted by their words instead. The words that
+    repeated windows cover are counted from the gaps between them.
     """
     t = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACES))) > 0)
@@ -66,38 +68,45 @@ def measures(text: Column) -> Column:
     return let(words(t), of)
 
 
-def repeated_words(ws: Column, bits: Column) -> Column:
-    """The number of words in 3-word windows that occur twice or more; ``bits`` are enough for a position."""
-    keys = F.sort_array(
-        F.transform(
-            F.sequence(F.lit(0), F.size(ws) - 3),
-            lambda i: F.call_function("shiftleft", F.xxhash64(F.slice(ws, i + 1, 3)), bits).bitwiseOR(i.cast("bigint")),
-        )
-    )
-    low = lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1)
+def window_hash(ws: Column, i: Column) -> Column:
+    return F.xxhash64(F.slice(ws, i + 1, 3))
+
+
+def repeated_words(ws: Column, bits: Column, hash_of=window_hash) -> Column:
+    """The number of words in 3-word windows that occur twice or more, exactly; ``bits`` are enough for a position."""
+    every = F.sequence(F.lit(0), F.size(ws) - 3)
+    keys = F.sort_array(F.transform(every, lambda i: F.call_function("shiftleft", hash_of(ws, i), bits).bitwiseOR(i.cast("bigint"))))
+    low = lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), bits) - 1).cast("int")
     high = lambda x: F.call_function("shiftrightunsigned", x, bits)
+    following = F.sequence(F.lit(1), F.size(ws) - 3)
 
-    def starts(s: Column) -> Column:
-        following = F.concat(F.slice(s, 2, F.size(s)), F.array(F.lit(None).cast("bigint")))
-        before = F.concat(F.array(F.lit(None).cast("bigint")), F.slice(s, 1, F.size(s) - 1))
-        at = F.arrays_zip(s.alias("x"), before.alias("y"), following.alias("z"))
-        equal = lambda a, b: F.coalesce(high(a) == high(b), F.lit(False))
-        return F.sort_array(
-            F.transform(F.filter(at, lambda p: equal(p["x"], p["y"]) | equal(p["x"], p["z"])), lambda p: low(p["x"]))
-        )
+    def same(i: Column, j: Column) -> Column:
+        return (ws[i] == ws[j]) & (ws[i + 1] == ws[j + 1]) & (ws[i + 2] == ws[j + 2])
 
     def covered(p: Column) -> Column:
-        gaps = F.zip_with(F.slice(p, 1, F.size(p) - 1), F.slice(p, 2, F.size(p)), lambda a, b: F.least(b - a, F.lit(3).cast("bigint")))
-        return F.when(F.size(p) == 0, F.lit(0).cast("bigint")).otherwise(F.aggregate(gaps, F.lit(3).cast("bigint"), lambda a, x: a + x))
+        gaps = F.zip_with(F.slice(p, 1, F.size(p) - 1), F.slice(p, 2, F.size(p)), lambda a, b: F.least(b - a, F.lit(3)))
+        return F.when(F.size(p) == 0, F.lit(0)).otherwise(F.aggregate(gaps, F.lit(3), lambda a, x: a + x))
+
+    def starts(at: Column, place) -> Column:
+        return F.sort_array(F.array_distinct(F.concat(F.transform(at, lambda k: place(k - 1)), F.transform(at, place))))
+
+    def by_words() -> Column:
+        windows = F.sort_array(F.transform(every, lambda i: F.struct(F.array_join(F.slice(ws, i + 1, 3), " ").alias("w"), i.alias("i"))))
+        return let(windows, lambda s: let(F.filter(following, lambda k: s[k - 1]["w"] == s[k]["w"]), lambda at: let(starts(at, lambda k: s[k]["i"]), covered)))
+
+    def of(s: Column) -> Column:
+        def counted(at: Column) -> Column:
+            exact = F.forall(at, lambda k: same(low(s[k - 1]), low(s[k])))
+            return F.when(exact, let(starts(at, lambda k: low(s[k])), covered)).otherwise(by_words())
 
-    return let(keys, lambda s: let(starts(s), covered))
+        return let(F.filter(following, lambda k: high(s[k - 1]) == high(s[k])), counted)
 
+    return let(keys, of)
 
-def sketch_bin(value: str) -> str:
-    """SQL for the lower end of a value's bin: exact below 256, then within 1/64 of the value, open above 2^20."""
-    steps = [(1 << k, 1 << (k - 7)) for k in range(9, 20)]
-    cases = " ".join(f"WHEN {value} < {top} THEN {value} - {value} % {step}" for top, step in steps)
-    return f"CASE WHEN {value} < 256 THEN {value} {cases} WHEN {value} < 1048576 THEN {value} - {value} % 8192 ELSE 1048576 END"
+
+def sketch_bin(value: str, shift: str = "shiftleft(CAST(1 AS BIGINT), {})") -> str:
+    """SQL for the lower end of a value's bin: exact below 256, then within 1/64 of the value, however large; ``shift`` is the engine's way to write 2 to a power."""
+    return f"CASE WHEN {value} < 256 THEN {value} ELSE {value} - {value} % ({shift.format(f'CAST(length(bin({value})) - 7 AS INT)')}) END"
 
 
 #: SQL for the measures from the base counts; div is the name of integer division.
@@ -137,13 +146,11 @@ def thresholds(rates: DataFrame, lang: str = "lang", source: str = "source") ->
         .select(F.col(lang).alias("lang"), F.col(source).alias("source"), F.expr(f"stack({len(names)}, {pairs}) AS (rate, bin)"))
         .groupBy("lang", "source", "rate", "bin").agg(F.count(F.lit(1)).alias("n"))
     )
-    seen.createOrReplaceTempView("q_sketches")
-    sql = threshold_sql("q_sketches")
-    return rates.sparkSession.sql(sql)
+    return rates.sparkSession.sql(threshold_sql("{seen}", "div"), seen=seen)
 
 
-def threshold_sql(sketches: str) -> str:
-    """SQL, for Spark and DuckDB alike, from sketches (lang, source, rate, bin, n) to fences."""
+def threshold_sql(sketches: str, div: str) -> str:
+    """SQL from sketches (lang, source, rate, bin, n) to fences; ``div`` is the engine's integer division."""
     fences = ", ".join(
         f"max(CASE WHEN rate = '{r.name}' THEN " + (f"q1 - {REACH} * greatest(q3 - q1, {r.least})" if r.both else "-1") + f" END) AS lo_{r.name}, "
         f"max(CASE WHEN rate = '{r.name}' THEN q3 + {REACH} * greatest(q3 - q1, {r.least}) END) AS hi_{r.name}"
@@ -157,10 +164,13 @@ def threshold_sql(sketches: str) -> str:
 {name}_sums AS (SELECT {by}rate, bin, sum(n) OVER (PARTITION BY {by}rate ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {by}rate) AS total FROM {name}_bins),
 {name}_q AS (SELECT {by}rate, max(total) AS docs, {quartiles} FROM {name}_sums GROUP BY {by}rate)"""
 
-    pick = lambda c: f"CASE WHEN g.docs >= {LEAST_DOCS} THEN g.{c} WHEN l.docs >= {LEAST_DOCS} THEN l.{c} ELSE a.{c} END AS {c}"
+    def blend(own: str, wide: str, c: str) -> str:
+        return f"({own}.docs * {own}.{c} + {PRIOR_DOCS} * {wide}.{c}) {div} ({own}.docs + {PRIOR_DOCS}) AS {c}"
+
     return f"""WITH {level("lang, source", "grp")}, {level("lang", "lng")}, {level("", "everything")},
-chosen AS (SELECT g.lang, g.source, g.rate, {pick("q1")}, {pick("q3")} FROM grp_q g
-JOIN lng_q l ON g.lang IS NOT DISTINCT FROM l.lang AND g.rate = l.rate JOIN everything_q a ON g.rate = a.rate)
+tongue AS (SELECT l.lang, l.rate, {blend("l", "a", "q1")}, {blend("l", "a", "q3")} FROM lng_q l JOIN everything_q a ON l.rate = a.rate),
+chosen AS (SELECT g.lang, g.source, g.rate, {blend("g", "t", "q1")}, {blend("g", "t", "q3")} FROM grp_q g
+JOIN tongue t ON g.lang IS NOT DISTINCT FROM t.lang AND g.rate = t.rate)
 SELECT lang, source, {fences} FROM chosen GROUP BY lang, source"""
 
 
@@ -197,7 +207,11 @@ def quality_filter(docs: DataFrame) -> DataFrame:
 
 
 def quality_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, base counts, base_failed, kept) for each row of ``docs``; each text is scanned once."""
+    """(doc_id, base counts, base_failed, kept) for each row of ``docs``; each text is scanned once.
+
+    A null text counts as empty and fails the base rule on words. Rows are judged one by one, so repeated rows stay repeated; a null language or
+    source is a group of its own; an empty table gives an empty result; other columns are not read.
+    """
     narrow = rated(docs.select("doc_id", "text", "lang", "source")).drop("text")
     narrow = checkpoint(narrow)
     out = judge(narrow, checkpoint(thresholds(narrow)))
@@ -221,9 +235,9 @@ CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS q_n_dup_lines, CAST(le
 CAST(coalesce(cov.n, 0) AS BIGINT) AS q_n_repeat_words FROM d LEFT JOIN cov ON d.r = cov.r),
 m AS (SELECT *, q_n_words < 50 OR 100 * q_n_repeat_words > 50 * q_n_words AS q_base_failed,
 {", ".join(f"({' '.join(f'q_{x}' if x[0].isalpha() else x for x in a.split())}) // greatest(q_{b}, 1) AS q_{k}" for k, (a, b) in RATES.items())} FROM b),
-u AS ({" UNION ALL ".join(f"SELECT lang, source, '{r.name}' AS rate, {sketch_bin('q_' + r.name)} AS bin FROM m WHERE NOT q_base_failed" for r in RULES)}),
+u AS ({" UNION ALL ".join(f"SELECT lang, source, '{r.name}' AS rate, {sketch_bin('q_' + r.name, '(CAST(1 AS BIGINT) << {})')} AS bin FROM m WHERE NOT q_base_failed" for r in RULES)}),
 sketches AS (SELECT lang, source, rate, bin, count(*) AS n FROM u GROUP BY ALL),
-fences AS ({threshold_sql("sketches")})
+fences AS ({threshold_sql("sketches", "//")})
 SELECT doc_id, q_n_words AS n_words, q_word_chars AS word_chars, q_n_symbols AS n_symbols, q_n_dup_lines AS n_dup_lines, q_n_repeat_words AS n_repeat_words,
 q_base_failed AS base_failed, coalesce(NOT q_base_failed AND {verdict()}, false) AS kept
 FROM m LEFT JOIN fences f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source"""

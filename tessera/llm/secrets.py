@@ -31,17 +31,20 @@ PADDING = re.compile(r"={0,2}")
 GOES_ON = re.compile(r"[A-Za-z0-9+]")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){16,}(?![0-9A-Fa-f])")
 
-#: Object identifiers of key algorithms (RSA, EC, Ed25519, X25519, Ed448, X448, DSA, DH), DER contents.
-KEY_OIDS = (
-    bytes.fromhex("2a864886f70d010101"),
-    bytes.fromhex("2a8648ce3d0201"),
-    bytes.fromhex("2b6570"),
-    bytes.fromhex("2b656e"),
-    bytes.fromhex("2b6571"),
-    bytes.fromhex("2b656f"),
-    bytes.fromhex("2a8648ce380401"),
-    bytes.fromhex("2a864886f70d010301"),
-)
+#: Object identifiers of key algorithms (RSA, EC, Ed25519, X25519, Ed448, X448, DSA, DH), DER contents, and what a key of each is: a
+#: number is the length of its octet string.
+KEY_OIDS = {
+    bytes.fromhex("2a864886f70d010101"): "rsa",
+    bytes.fromhex("2a8648ce3d0201"): "ec",
+    bytes.fromhex("2b6570"): 32,
+    bytes.fromhex("2b656e"): 32,
+    bytes.fromhex("2b6571"): 57,
+    bytes.fromhex("2b656f"): 56,
+    bytes.fromhex("2a8648ce380401"): "number",
+    bytes.fromhex("2a864886f70d010301"): "number",
+}
+#: Bytes of a private number on the curves in use.
+EC_LENGTHS = (20, 24, 28, 30, 32, 36, 48, 64, 66)
 #: Fixed value: the magic of OpenSSH private keys.
 OPENSSH = b"openssh-key-v1\x00"
 #: Names that begin an SSH wire-format key.
@@ -85,22 +88,67 @@ def children(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | Non
     return out
 
 
+def is_rsa_key(data: bytes, at: int, end: int) -> bool:
+    """PKCS #1: a sequence of a version and eight numbers, all positive; of version 1 the infos of further primes follow, of version 0 nothing."""
+    top = der(data, at, end)
+    if top is None or top[0] != 0x30 or top[2] != end or not (parts := children(data, top[1], end)):
+        return False
+    if len(parts) not in (9, 10) or any(p[0] != 0x02 or p[1] == p[2] for p in parts[:9]) or any(data[p[1]] >= 0x80 for p in parts[:9]):
+        return False
+    version = data[parts[0][1] : parts[0][2]]
+    if len(parts) == 9:
+        return version == b"\x00"
+    more = parts[9][0] == 0x30 and children(data, parts[9][1], parts[9][2])
+    return version == b"\x01" and bool(more) and all(p[0] == 0x30 and len(children(data, p[1], p[2]) or ()) == 3 for p in more)
+
+
+def is_ec_key(data: bytes, at: int, end: int) -> bool:
+    """SEC 1: a sequence of version 1, an octet string of a curve's length, and nothing but the curve and the public key after it."""
+    top = der(data, at, end)
+    if top is None or top[0] != 0x30 or top[2] != end or not (parts := children(data, top[1], end)):
+        return False
+    tags = [p[0] for p in parts]
+    if tags[:2] != [0x02, 0x04] or tags[2:] not in ([], [0xA0], [0xA1], [0xA0, 0xA1]) or data[parts[0][1] : parts[0][2]] != b"\x01":
+        return False
+    return parts[1][2] - parts[1][1] in EC_LENGTHS and all(children(data, p[1], p[2]) for p in parts[2:])
+
+
+def is_number(data: bytes, at: int, end: int) -> bool:
+    """A positive INTEGER that fills the span: the private number of DSA and DH."""
+    x = der(data, at, end)
+    return x is not None and x[0] == 0x02 and x[2] == end and x[1] < end and data[x[1]] < 0x80 and any(data[x[1] : end])
+
+
 def is_der_key(data: bytes) -> bool:
-    """A private key in DER: PKCS #8, PKCS #1 or SEC 1, whose nested lengths all agree. Public keys are no secret."""
+    """A private key in DER: PKCS #8, PKCS #1 or SEC 1, whose nested lengths all agree. Public keys are no secret.
+
+    What PKCS #8 wraps is parsed in turn, by the algorithm that it names.
+    """
     top = der(data, 0, len(data))
     if top is None or top[0] != 0x30 or top[2] != len(data):
         return False
     parts = children(data, top[1], top[2])
     if not parts or parts[0][0] != 0x02:
         return False
-    version = data[parts[0][1] : parts[0][2]]
     tags = [p[0] for p in parts]
-    if tags[1:3] == [0x30, 0x04] and version in (b"\x00", b"\x01"):
-        algorithm = children(data, parts[1][1], parts[1][2])
-        return bool(algorithm) and algorithm[0][0] == 0x06 and data[algorithm[0][1] : algorithm[0][2]] in KEY_OIDS
-    if len(tags) >= 9 and set(tags[:9]) == {0x02}:  # version 1 has the infos of further primes, version 0 has none
-        return (version, tags[9:]) in ((b"\x00", []), (b"\x01", [0x30]))
-    return tags[:2] == [0x02, 0x04] and version == b"\x01" and parts[1][2] - parts[1][1] in (28, 32, 48, 66)
+    if tags[1:3] != [0x30, 0x04]:
+        return is_rsa_key(data, 0, len(data)) or is_ec_key(data, 0, len(data))
+    version = data[parts[0][1] : parts[0][2]]  # with version 1 the public key may follow
+    if (version, tags[3:]) not in ((b"\x00", []), (b"\x00", [0xA0]), (b"\x01", [0x81]), (b"\x01", [0xA1]), (b"\x01", [0xA0, 0x81]), (b"\x01", [0xA0, 0xA1]), (b"\x01", [])):
+        return False
+    algorithm = children(data, parts[1][1], parts[1][2])
+    if not algorithm or algorithm[0][0] != 0x06:
+        return False
+    kind = KEY_OIDS.get(data[algorithm[0][1] : algorithm[0][2]])
+    a, z = parts[2][1:]
+    if kind == "rsa":
+        return is_rsa_key(data, a, z)
+    if kind == "ec":
+        return is_ec_key(data, a, z)
+    if kind == "number":
+        return is_number(data, a, z)
+    inner = der(data, a, z) if kind else None  # the others: an octet string of the curve's length
+    return inner is not None and inner[0] == 0x04 and inner[2] == z and inner[2] - inner[1] == kind
 
 
 def ssh_end(data: bytes) -> int | None:

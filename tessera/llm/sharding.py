@@ -19,6 +19,10 @@ PACKS = 8
 BUCKET_GROUPS = 100_000
 #: At least so many buckets, so that packs are small beside a shard.
 BUCKETS = 256
+#: While there are more packs than this, packs are packed again in tasks, so many at a time into so many larger ones, but for
+#: one bucket of them, which stay as they are to fill the gaps.
+MOST_PACKS = 16_384
+AGAIN, INTO = 4096, 1024
 #: A group over the 1/FINE part of a shard, in bytes or rows, is not packed; there can be no more than 2 * FINE * shards of these.
 FINE = 64
 
@@ -73,12 +77,37 @@ def sized(docs: DataFrame) -> DataFrame:
     )
 
 
-def assign(rows: DataFrame, shards: int = SHARDS, bucket_groups: int = BUCKET_GROUPS) -> DataFrame:
+def packed(units: DataFrame, buckets: int, parts: int, whole: bool = False) -> DataFrame:
+    """``units`` (id, bytes) with the pack of each: a bucket by the hash of the id, balanced into ``parts`` packs by differencing, a task at a time.
+
+    With ``whole``, each unit of the first bucket is a pack by itself.
+    """
+    kind = units.schema["id"].dataType.simpleString()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [b for b in batches if b.num_rows]
+        if not tables:
+            return
+        x = pa.Table.from_batches(tables).combine_chunks()
+        size, bucket, tie = (x.column(k).to_numpy() for k in (1, 2, 3))
+        order = np.lexsort((tie, bucket))
+        for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            alone = whole and bucket[own[0]] == 0
+            part = -1 - np.arange(len(own)) if alone else differencing(size[own], parts)
+            ids = x.column(0).take(pa.array(own)).combine_chunks()
+            yield pa.RecordBatch.from_arrays([ids, pa.array(size[own]), pa.array(bucket[own] * parts + part)], ["id", "bytes", "pack"])
+
+    n = min(buckets, max(partitions(units.sparkSession), buckets // 8))
+    dealt = units.withColumn("tie", F.xxhash64("id")).select("id", "bytes", F.pmod("tie", F.lit(buckets)).cast("bigint").alias("bucket"), "tie")
+    return dealt.repartition(n, "bucket").mapInArrow(pack, f"id {kind}, bytes bigint, pack bigint")
+
+
+def assign(rows: DataFrame, shards: int = SHARDS, bucket_groups: int = BUCKET_GROUPS, most: int = MOST_PACKS, again: int = AGAIN, into: int = INTO) -> DataFrame:
     """(g1, g2, shard) for each group of ``rows`` (size, g1, g2), which should be cheap to read again.
 
     Groups are summed with partial aggregates. Small groups are dealt to buckets by hash, and each bucket is balanced into
-    packs by differencing, a task at a time. All packs and the few large groups, whose number is bounded, are then
-    balanced into the shards by differencing on the driver: 8 packs of each bucket and up to 128 groups a shard.
+    packs by differencing, a task at a time. While there are more than ``most`` packs, those are packed in the same way. What is left, and the few large
+    groups, whose number is bounded, is balanced into the shards by differencing on the driver, which so holds at most ``most`` packs and 128 groups a shard.
     """
     spark = rows.sparkSession
     groups = checkpoint(rows.groupBy("g1", "g2").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")))
@@ -89,27 +118,17 @@ def assign(rows: DataFrame, shards: int = SHARDS, bucket_groups: int = BUCKET_GR
     is_large = f"bytes > {t.bytes // (FINE * shards)} OR n > {t.n // (FINE * shards)} AND n > 1"
     large = groups.where(is_large).orderBy("g1", "g2").collect()
     buckets = max(BUCKETS, -(-t.groups // bucket_groups))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [b for b in batches if b.num_rows]
-        if not tables:
-            return
-        x = pa.Table.from_batches(tables)
-        g1, g2, size, bucket = (x.column(k).to_numpy() for k in range(4))
-        order = np.lexsort((g2, g1, bucket))
-        for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-            part = differencing(size[own], PACKS)
-            columns = [g1[own], g2[own], size[own], bucket[own] * PACKS + part]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["g1", "g2", "bytes", "pack"])
-
-    small_groups = groups.where(f"NOT ({is_large})").select("g1", "g2", "bytes", F.pmod("g2", F.lit(buckets)).cast("bigint").alias("bucket"))
-    n = min(buckets, max(partitions(spark), buckets // 8))
-    packed = checkpoint(small_groups.repartition(n, "bucket").mapInArrow(pack, "g1 bigint, g2 bigint, bytes bigint, pack bigint"))
-    packs = packed.groupBy("pack").agg(F.sum("bytes").alias("bytes")).orderBy("pack").collect()
-    shard = differencing(np.array([r["bytes"] for r in packs] + [r["bytes"] for r in large], np.int64), shards).tolist()
-    of_pack = spark.createDataFrame([(r.pack, s) for r, s in zip(packs, shard, strict=False)], "pack bigint, shard int")
-    of_large = spark.createDataFrame([(r.g1, r.g2, s) for r, s in zip(large, shard[len(packs) :], strict=True)], schema)
-    return packed.join(small(of_pack), "pack").select("g1", "g2", "shard").unionByName(of_large.withColumn("shard", F.col("shard").cast("int")))
+    units = groups.where(f"NOT ({is_large})").select(F.struct("g1", "g2").alias("id"), "bytes")
+    levels = [checkpoint(packed(units, buckets, PACKS))]
+    while (n := (packs := levels[-1].groupBy("pack").agg(F.sum("bytes").alias("bytes"))).count()) > most:
+        levels.append(checkpoint(packed(packs.withColumnRenamed("pack", "id"), -(-n // again), into, whole=True)))
+    top = packs.orderBy("pack").collect()
+    shard = differencing(np.array([r["bytes"] for r in top] + [r["bytes"] for r in large], np.int64), shards).tolist()
+    placed = spark.createDataFrame([(r.pack, s) for r, s in zip(top, shard, strict=False)], "pack bigint, shard int")
+    for level in reversed(levels):
+        placed = level.join(small(placed), "pack").select("id", "shard").withColumnRenamed("id", "pack")
+    of_large = spark.createDataFrame([(r.g1, r.g2, s) for r, s in zip(large, shard[len(top) :], strict=True)], schema)
+    return placed.select("pack.g1", "pack.g2", "shard").unionByName(of_large)
 
 
 def shard_table(docs: DataFrame, shards: int = SHARDS) -> DataFrame:

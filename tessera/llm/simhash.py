@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpoint, partitions, set_aside
+from tessera.llm.common import checkpoint, partitions, set_aside, small, spread_join, stored
 from tessera.llm.components import connected_components
 
 WIDTH = 3
@@ -19,39 +19,66 @@ SEED = 42
 DISTANCE = 3
 #: Bits of the six blocks, lowest first. Two fingerprints that differ in three bits at most agree on three blocks at least.
 BLOCKS = (11, 11, 11, 11, 10, 10)
-#: In a bucket of more fingerprints, the bits outside its blocks are cut into blocks again.
+#: In a bucket of more fingerprints, the bits that vary are cut into blocks again, and so on until buckets are as small as this.
 DIRECT = 2048
 
-
-def fingerprint(text: bytes) -> int:
-    """The 64-bit SimHash of one text: A-Z in lower case, 3-word shingles with repeats; zero without words."""
+#: The wide form: shingles of five words, fingerprints of 256 bits, and the distance that goes with a similarity of 0.8. Two sets of similarity s have
+#: an angle of acos(2 s / (1 + s)), of which a fingerprint's differing bits are an unbiased measure: 38.6 of 256 at 0.8.
+WIDE_WIDTH = 5
+WIDE_WORDS = 4
+WIDE_DISTANCE = 38
+#: Each of the splits cuts another permutation of the bits into blocks of so many bits, 12 of 21: pairs that differ in 11 bits or fewer share
+#: a block for certain, pairs that differ in 27 (similarity 0.9) with probability 0.998, in 38 with 0.88.
+WIDE_SPLITS = 5
+WIDE_BITS = 21
+
+U = np.uint64
+
+
+def _words_of(hashes: np.ndarray, words: int) -> np.ndarray:
+    """(n, words): each hash, followed by words that are mixed from it."""
+    out = np.empty((len(hashes), words), "<u8")
+    out[:, 0] = hashes
+    for k in range(1, words):
+        x = hashes + U(0x9E3779B97F4A7C15 * k & (1 << 64) - 1)
+        x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
+        out[:, k] = x ^ (x >> U(31))
+    return out
+
+
+def fingerprint(text: bytes, width: int = WIDTH, words: int = 1) -> bytes:
+    """The SimHash of one text, ``8 * words`` bytes, lowest bits first: A-Z in lower case, shingles with repeats; zero without words."""
     tokens = text.lower().split()  # for bytes: A-Z only, and exactly the space and U+0009 to U+000D
     if not tokens:
-        return 0
+        return bytes(8 * words)
     joined = b" ".join(tokens)
-    if len(tokens) <= WIDTH:
-        return xxhash.xxh64_intdigest(joined, SEED)
-    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
-    starts = [0, *(ends[:-WIDTH] + 1).tolist()]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[WIDTH - 1 :].tolist(), strict=True)], dtype="<u8")
-    ones = np.zeros(64, np.int64)
-    for k in range(0, len(hashes), 1 << 16):
-        part = hashes[k : k + (1 << 16)]
-        ones += np.unpackbits(part.view(np.uint8).reshape(len(part), 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    if len(tokens) <= width:
+        return _words_of(np.array([digest(joined, SEED)], "<u8"), words).tobytes()
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
+    starts = [0, *(ends[:-width] + 1).tolist()]
+    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)], dtype="<u8")
+    ones = np.zeros(64 * words, np.int64)
+    for k in range(0, len(hashes), 255):  # sums of 255 bits fit a byte
+        part = _words_of(hashes[k : k + 255], words) if words > 1 else hashes[k : k + 255]
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8 * words), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").tobytes()
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): the fingerprint of each row as a bigint of the same bits; a null text counts as empty."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def fingerprints(docs: DataFrame, width: int = WIDTH, words: int = 1) -> DataFrame:
+    """``docs`` with ``fp`` instead of ``text``: a bigint of the fingerprint's bits, or its bytes if it has more words; a null text counts as empty."""
+    others = [f for f in docs.schema.fields if f.name != "text"]
+    names = [f.name for f in others]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(t or b"") for t in b.column(1).to_pylist()), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            found = [fingerprint(t or b"", width, words) for t in b.column(len(names)).to_pylist()]
+            fps = pa.array(np.frombuffer(b"".join(found), "<i8")) if words == 1 else pa.array(found, pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], fps], [*names, "fp"])
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(of, f"doc_id {kind}, fp bigint")
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in others), f"fp {'bigint' if words == 1 else 'binary'}"])
+    return docs.select(*names, F.col("text").cast("binary").alias("text")).mapInArrow(of, schema)
 
 
 def block_keys(fp: Column) -> Column:
@@ -68,85 +95,122 @@ def block_keys(fp: Column) -> Column:
     return F.array(*(key(n, c) for n, c in enumerate(combinations(range(len(BLOCKS)), 3))))
 
 
-def close_links(fps: np.ndarray, direct: int = DIRECT) -> Iterator[tuple[int, int]]:
+def close_links(fps: np.ndarray, direct: int = DIRECT, distance: int = DISTANCE) -> Iterator[tuple[int, int]]:
     """Pairs that connect exactly those of the distinct ``fps`` which chains of close ones connect.
 
-    A bucket of k fingerprints gives fewer than k pairs. In a large bucket the bits that vary are cut into six blocks, and
-    buckets on three of them are linked in turn, so that no step compares all with all.
+    A bucket of k fingerprints gives fewer than k pairs. In a large bucket the bits that vary are cut into twice as many blocks as may differ, and
+    buckets on half of them are linked in turn, by the same rule: the fingerprints of such a bucket agree on half of the bits, so fewer
+    vary each time, and no step compares all with all.
     """
-    if len(fps) <= direct:
-        yield from _direct(fps)
-        return
     varying = int(np.bitwise_or.reduce(fps ^ fps[0]))
     places = [k for k in range(64) if varying >> k & 1]
-    parts = [places[k::6] for k in range(6)]
-    for chosen in combinations(range(6), 3):
-        mask = np.uint64(sum(1 << p for k in chosen for p in parts[k]))
+    n = 2 * distance
+    if len(fps) <= direct or len(places) < n:
+        yield from _direct(fps[:, None], distance)
+        return
+    parts = [places[k::n] for k in range(n)]
+    for chosen in combinations(range(n), distance):
+        mask = U(sum(1 << p for k in chosen for p in parts[k]))
         order = np.argsort(fps & mask, kind="stable")
         cuts = np.flatnonzero(np.diff(fps[order] & mask)) + 1
         for group in np.split(fps[order], cuts):
             if len(group) > 1:
-                yield from _direct(group)
+                yield from close_links(group, direct, distance)
 
 
-def _direct(fps: np.ndarray) -> Iterator[tuple[int, int]]:
-    if len(fps) == 2:
-        a, b = fps.tolist()
-        if (a ^ b).bit_count() <= DISTANCE:
-            yield a, b
-        return
+def _direct(fps: np.ndarray, distance: int) -> Iterator[tuple]:
+    """The links of a spanning forest of the close ones among ``fps``, a row of words each."""
     left = fps
+    one = fps.shape[1] == 1
+    name = (lambda x: int(x[0])) if one else (lambda x: x.tobytes())
     while len(left) > 1:
         root, left = left[0], left[1:]
         queue = [root]
         while queue and len(left):
-            near = np.bitwise_count(left ^ queue.pop()) <= DISTANCE
+            apart = np.bitwise_count(left ^ queue.pop())
+            near = (apart[:, 0] if one else apart.sum(axis=1, dtype=np.uint16)) <= distance
             if near.any():
                 found, left = left[near], left[~near]
-                for x in found.tolist():
-                    yield int(root), x
+                for x in found:
+                    yield name(root), name(x)
                 queue.extend(found)
 
 
-def links(distinct: DataFrame, direct: int = DIRECT) -> DataFrame:
-    """(src, dst) among the distinct fingerprints ``fp``: pairs that connect all that close pairs connect.
+def linked(keyed: DataFrame, pairs_of, kind: str) -> DataFrame:
+    """(src, dst), distinct, from rows (key, fp): ``pairs_of`` applied to the fingerprints of each bucket of two or more.
 
-    Rows of a bucket arrive sorted and are linked one bucket at a time, so a task holds one bucket of distinct 8-byte values.
+    Rows of a bucket arrive sorted and are linked one bucket at a time, so a task holds one bucket of distinct short values.
     """
+    wide = kind == "binary"
+
+    def read(column: pa.Array) -> np.ndarray:
+        if wide:
+            return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(len(column), -1)
+        return column.to_numpy().view(np.uint64)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held = None, []
 
         def out(pairs):
-            if pairs:
-                a = np.array(pairs, dtype=np.uint64).view(np.int64).reshape(-1, 2)
-                return [pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], ["src", "dst"])]
-            return []
+            if not pairs:
+                return []
+            columns = list(zip(*pairs, strict=True))
+            if wide:
+                return [pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["src", "dst"])]
+            return [pa.RecordBatch.from_arrays([pa.array(np.array(c, np.uint64).view(np.int64)) for c in columns], ["src", "dst"])]
 
         for b in batches:
-            keys, fps = b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64)
-            if not len(keys):
+            if not b.num_rows:
                 continue
+            keys, fps = b.column(0).to_numpy(), read(b.column(1))
             cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
-            pairs: list[tuple[int, int]] = []
+            pairs: list[tuple] = []
             if held_key == keys[0]:
                 held.append(fps[: cuts[1]])
                 if len(cuts) == 2:
                     continue
                 cuts = cuts[1:]
-            if held:
-                pairs.extend(close_links(np.concatenate(held), direct))
+            if held and sum(map(len, held)) > 1:
+                pairs.extend(pairs_of(np.concatenate(held)))
             sizes = np.diff(cuts)
             for k in np.flatnonzero(sizes[:-1] > 1).tolist():
-                pairs.extend(close_links(fps[cuts[k] : cuts[k + 1]], direct))
+                pairs.extend(pairs_of(fps[cuts[k] : cuts[k + 1]]))
             held_key, held = keys[cuts[-2]], [fps[cuts[-2] :]]
             yield from out(pairs)
-        if held:
-            yield from out(list(close_links(np.concatenate(held), direct)))
+        if held and sum(map(len, held)) > 1:
+            yield from out(list(pairs_of(np.concatenate(held))))
+
+    n = partitions(keyed.sparkSession)
+    return keyed.repartition(n, "key").sortWithinPartitions("key").mapInArrow(of, f"src {kind}, dst {kind}").distinct()
+
 
-    n = partitions(distinct.sparkSession)
+def links(distinct: DataFrame, direct: int = DIRECT) -> DataFrame:
+    """(src, dst) among the distinct fingerprints ``fp``, bigints: pairs that connect all that close pairs connect."""
     keyed = distinct.select(F.explode(block_keys(F.col("fp"))).alias("key"), "fp")
-    return keyed.repartition(n, "key").sortWithinPartitions("key").mapInArrow(of, "src bigint, dst bigint").distinct()
+    return linked(keyed, lambda fps: close_links(fps, direct), "bigint")
+
+
+def wide_places(splits: int = WIDE_SPLITS, bits: int = WIDE_BITS, words: int = WIDE_WORDS) -> np.ndarray:
+    """(keys, bits): the bits of each block; each split cuts another permutation of the fingerprint's bits into blocks."""
+    per = 64 * words // bits
+    return np.concatenate([np.random.default_rng([SEED, k]).permutation(64 * words)[: per * bits].reshape(per, bits) for k in range(splits)])
+
+
+def wide_links(distinct: DataFrame, splits: int = WIDE_SPLITS, bits: int = WIDE_BITS, words: int = WIDE_WORDS, distance: int = WIDE_DISTANCE) -> DataFrame:
+    """(src, dst) among the distinct fingerprints ``fp``, binaries: pairs within ``distance`` that share a block, as forests."""
+    places = wide_places(splits, bits, words)
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = 1 << np.arange(bits, dtype=np.int64)
+        for b in batches:
+            for k in range(0, b.num_rows, 2048):
+                fps = b.column(0).slice(k, 2048)
+                set_bits = np.unpackbits(np.frombuffer(b"".join(fps.to_pylist()), np.uint8).reshape(len(fps), -1), axis=1, bitorder="little")
+                own = [set_bits[:, p] @ weights + (j << bits) for j, p in enumerate(places)]
+                rows = pa.array(np.tile(np.arange(len(fps)), len(places)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own)), fps.take(rows)], ["key", "fp"])
+
+    return linked(distinct.select("fp").mapInArrow(keys, "key bigint, fp binary"), lambda fps: _direct(fps, distance), "binary")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -157,31 +221,36 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component but never names it, unless all are without: then component_id is null. Repeated rows stay repeated; an empty table gives
     an empty result; columns other than doc_id and text are not read.
     """
-    prints = checkpoint(fingerprints(docs))
-    distinct = checkpoint(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    prints = checkpoint(fingerprints(docs.select("doc_id", "text")))
+    distinct = checkpoint(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")))
     parts = checkpoint(connected_components(links(distinct)))
-    linked = parts.join(distinct, parts["id"] == distinct["fp"])
-    names = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = linked.join(names, "component").select(F.col("fp").alias("id"), "component_id")
-    of = distinct.join(named, distinct["fp"] == named["id"], "left").select(
-        F.col("fp").alias("id"), F.coalesce("component_id", "least").alias("component_id")
-    )
+    names_of = parts.join(distinct, parts["id"] == distinct["fp"])
+    names = names_of.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = names_of.join(names, "component").select(F.col("fp").alias("id"), "component_id")
+    of = distinct.join(named, distinct["fp"] == named["id"], "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), "n")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return prints.join(of, prints["fp"] == of["id"]).select("doc_id", digits.alias("fingerprint"), "component_id")
+    return spread_join(prints, checkpoint(of), "fp", "n", prints.count()).select("doc_id", digits.alias("fingerprint"), "component_id")
+
 
+def deduplicate(docs: DataFrame, width: int = WIDE_WIDTH, distance: int = WIDE_DISTANCE, splits: int = WIDE_SPLITS, bits: int = WIDE_BITS) -> DataFrame:
+    """One row of ``docs`` for each group of near-duplicates, in the wide form: shingles of five words, similarity 0.8 or more.
 
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each component: that of its smallest doc_id, and of rows with the same doc_id any one.
+    Similarity is read from fingerprints of 256 bits, with a standard error of 0.05 at 0.8, and groups follow chains of similar texts. The row that
+    stays is that of the smallest doc_id; of several with that id, the one whose columns hash lowest, so reruns agree (rows that are
+    equal in every column are interchangeable). Each row is judged by its own text: two texts under one doc_id that aren't alike both stay.
+    Rows without doc_id come after all others. Null and empty texts are one group. An empty table stays empty. Columns are those of ``docs``.
 
-    Rows without doc_id stay only in components where no row has one, again one each. Columns are those of ``docs``.
+    Rows are numbered in a written copy, and all the rest works on numbers and fingerprints. The numbers of the rows to go are broadcast if a count shows
+    that they are few; otherwise the last join shuffles.
     """
     inner = set_aside(docs, "doc_id", "text")
-    found = near_duplicates(inner)
-    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("s_id")).distinct()
-    kept = inner.join(chosen, F.col("doc_id").eqNullSafe(F.col("s_id")), "left_semi")
-    repeated = checkpoint(kept.select("doc_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("s_id")))
-    if not repeated.isEmpty():
-        same = F.col("doc_id").eqNullSafe(F.col("s_id"))
-        first = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id"])
-        kept = kept.join(repeated, same, "left_anti").unionByName(first)
-    return kept.toDF(*docs.columns)
+    plain = [f.name for f in inner.schema.fields if "map" not in f.dataType.simpleString()]
+    kept = stored(inner.withColumns({"s_tie": F.xxhash64(*plain), "s_row": F.monotonically_increasing_id()}))
+    rows = checkpoint(fingerprints(kept.select("s_row", "s_tie", "doc_id", "text"), width, WIDE_WORDS))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "s_tie", "s_row")).alias("best")
+    distinct = checkpoint(rows.groupBy("fp").agg(best))
+    parts = connected_components(wide_links(distinct, splits, bits, WIDE_WORDS, distance))
+    group = F.coalesce("component", "fp").alias("group")
+    ahead = distinct.join(parts, distinct["fp"] == parts["id"], "left").select(group, "best").groupBy("group").agg(F.min("best").alias("best"))
+    gone = checkpoint(rows.select("s_row").join(ahead.select(F.col("best.s_row").alias("s_row")), "s_row", "left_anti"))
+    return kept.join(small(gone), "s_row", "left_anti").select(*inner.columns).toDF(*docs.columns)

@@ -24,14 +24,15 @@ PART_BYTES = 6 << 20
 def later(bucket: Bucket, length: int = LENGTH) -> list[list[np.ndarray]]:
     """Runs of windows in the bucket whose words also start earlier: at a smaller doc_id, or before in the document."""
     string, offset, group = bucket.window_groups(length)
-    doc, start = bucket.doc[bucket.least][string], bucket.start[bucket.least][string] + offset
-    order = np.lexsort((start, doc, group))
+    own = bucket.least[string]
+    doc, null, start = bucket.doc[own], bucket.null[own], bucket.start[own] + offset
+    order = np.lexsort((start, null, doc, group))
     new = np.concatenate(([True], np.diff(group[order]) != 0))
     lead = order[np.flatnonzero(new)][np.cumsum(new) - 1]
     flags = np.zeros(len(order), bool)
-    flags[order] = (doc[order] != doc[lead]) | (start[order] != start[lead])
+    flags[order] = (doc[order] != doc[lead]) | (null[order] != null[lead]) | (start[order] != start[lead])
     least = bucket.least[bucket.string]
-    first = (bucket.doc == bucket.doc[least]) & (bucket.start == bucket.start[least])
+    first = (bucket.doc == bucket.doc[least]) & (bucket.null == bucket.null[least]) & (bucket.start == bucket.start[least])
     copies = np.flatnonzero(~first)
     whole = bucket.size[bucket.string[copies]] - length + 1
     return [
@@ -76,8 +77,8 @@ def deduplicate(
 
     A window is ``length`` consecutive words of one text. Every word that is covered by a window whose words also start
     earlier, at a smaller doc_id or before in the same document, is removed; windows are judged on the input. The words kept, joined by
-    spaces, have the sha256 given. Nothing is sampled or capped: each bucket's windows are sorted and counted exactly, by
-    two 64-bit hashes of their words.
+    spaces, have the sha256 given. Nothing is sampled or capped: each bucket's windows are sorted by
+    hash and those that meet are compared word by word, so no word goes because of a hash.
 
     Null and empty texts have no words, and texts of fewer words than a window lose none. A null doc_id comes after all others. Rows with
     equal doc_id and text are one place and don't remove each other; rows with equal doc_id and different
@@ -121,7 +122,7 @@ def deduplicate(
                     np.add.at(change, start[a:z] + size[a:z] + (length - 1), -1)
                     own = [own[k] for k in np.flatnonzero(np.cumsum(change[:-1]) == 0).tolist()]
                 kept = b" ".join(own)
-                row = [None if i == superkmers.LAST else i, total, total - len(own), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace") if texts else None]
+                row = [None if t >> superkmers.NULL_BIT else i, total, total - len(own), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace") if texts else None]
                 for c, x in zip(out, row, strict=False):
                     c.append(x)
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(out, result, strict=True)], schema=result)

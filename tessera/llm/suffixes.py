@@ -1,4 +1,4 @@
-"""Repeated passages by sparse suffix arrays: suffixes at minimisers, sorted, compared with neighbours and extended."""
+"""Repeated passages by sparse suffix arrays: suffixes at minimisers, sorted, compared with neighbours and extended to both sides."""
 
 from __future__ import annotations
 
@@ -10,60 +10,141 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import superkmers
-from tessera.llm.substrings import later
 from tessera.llm.superkmers import Bucket, _mix
 
 LENGTH = 50
 GRAM = 8
+#: Anchors whose words around them are gathered at once.
+GATHER = 1 << 14
 
 
-def anchored(bucket: Bucket, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first anchor, its hash, number of anchors) of each string: the places of its least run of ``gram`` words."""
+def anchors(bucket: Bucket, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(word, string) of every anchor: the places of the least run of ``gram`` words of each string, all of them if it occurs again.
+
+    Anchors whose run occurs nowhere else are left out, as no window around one repeats.
+    """
     n = len(bucket.words.starts)
     grams = _mix(bucket.words.windows(np.arange(max(0, n - gram + 1)), gram))
     count = bucket.size - gram + 1
     at = np.repeat(bucket.first - np.cumsum(count) + count, count) + np.arange(count.sum())
-    own = np.cumsum(count) - count
-    least = np.minimum.reduceat(grams[at], own)
+    least = np.minimum.reduceat(grams[at], np.cumsum(count) - count)
     hits = np.flatnonzero(grams[at] == np.repeat(least, count))
-    string = np.searchsorted(own, hits, "right") - 1
-    return at[hits[np.searchsorted(string, np.arange(len(own)))]], least, np.bincount(string, minlength=len(own))
+    string = np.repeat(np.arange(len(count)), count)[hits]
+    places = np.bincount(bucket.string, minlength=len(count))
+    _, which = np.unique(least[string], return_inverse=True)
+    kept = np.bincount(which, weights=places[string])[which] > 1
+    return at[hits][kept], string[kept]
 
 
-def candidates(bucket: Bucket, gram: int) -> np.ndarray:
-    """The strings whose suffix at the anchor begins like that of a neighbour in the sorted array, or that repeat by themselves.
+def contexts(bucket: Bucket, word: np.ndarray, string: np.ndarray, left: int, right: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``left`` words before each anchor, nearest first, and the ``right`` words from it on, as numbers above 0; 0 beyond the string.
 
-    Equal windows have the same minimiser, so their anchors' suffixes have the same first ``gram`` words and stand in
-    one run of neighbours; all of a run with two members go on.
+    Words get numbers from a dictionary, so equal numbers are equal words.
     """
-    anchor, least, anchors = anchored(bucket, gram)
-    starts, ends = bucket.words.starts[anchor].tolist(), bucket.words.ends[bucket.first + bucket.size - 1].tolist()
-    text = bucket.text
-    suffixes = [text[a:z] for a, z in zip(starts, ends, strict=True)]
-    order = np.array(sorted(range(len(suffixes)), key=suffixes.__getitem__), np.int64)
-    alike = least[order][1:] == least[order][:-1]
-    out = (anchors > 1) | (np.bincount(bucket.string, minlength=len(anchors)) > 1)
-    out[order[1:][alike]] = True
-    out[order[:-1][alike]] = True
-    return np.flatnonzero(out)
+    own = np.unique(string)
+    size = bucket.size[own]
+    begin = np.cumsum(size) - size
+    names: dict[bytes, int] = {}
+    starts, ends, text = bucket.words.starts, bucket.words.ends, bucket.text
+    first = bucket.first[own]
+    parts = [text[a:z] for a, z in zip(starts[first].tolist(), ends[first + size - 1].tolist(), strict=True)]
+    numbers = np.fromiter((names.setdefault(w, len(names) + 1) for p in parts for w in p.split(b" ")), ">u4", int(size.sum()))
+    at = np.searchsorted(own, string)
+    place = begin[at] + word - bucket.first[string]
+    low, high = begin[at], begin[at] + size[at]
+    out = np.empty((len(word), left), ">u4"), np.empty((len(word), right), ">u4")
+    for k in range(0, len(word), GATHER):
+        z = slice(k, k + GATHER)
+        for side, steps in zip(out, (-1 - np.arange(left), np.arange(right)), strict=True):
+            i = place[z, None] + steps
+            inside = (i >= low[z, None]) & (i < high[z, None])
+            side[z] = np.where(inside, numbers[np.clip(i, 0, len(numbers) - 1)], 0)
+    return out
+
+
+def sorted_array(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the rows and how many words each has in common, from the first on, with the one before it in that order."""
+    order = np.argsort(side.view(f"S{4 * side.shape[1]}").ravel(), kind="stable")
+    alike = np.zeros(len(order), np.int64)
+    for k in range(1, len(order), GATHER):
+        a, b = side[order[k - 1 : k + GATHER - 1]], side[order[k : k + GATHER]]
+        n = min(len(a), len(b))
+        alike[k : k + n] = np.logical_and.accumulate((a[:n] == b[:n]) & (b[:n] != 0), axis=1).sum(axis=1)
+    return order, alike
+
+
+def runs_at(order: np.ndarray, alike: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The run of each row in the sorted array in which neighbours share ``depth`` words, and whether it has two rows or more."""
+    run = np.empty(len(order), np.int64)
+    near = alike >= depth
+    near[0] = False
+    run[order] = np.cumsum(~near)
+    company = near.copy()
+    company[:-1] |= near[1:]
+    out = np.empty(len(order), bool)
+    out[order] = company
+    return run, out
 
 
 def repeats(bucket: Bucket, length: int, gram: int) -> list[list[np.ndarray]]:
     """Runs (doc, th, start, windows, later) of windows whose words occur at two places; with ``later`` 1, of those that occur earlier.
 
-    The members of a run of neighbours are extended to both sides of the anchor: at each alignment the ``length`` words around
-    it are compared with the other members', which finds every pair of which left and right extension add up to ``length``.
+    The suffixes at the anchors are sorted, and what neighbours share gives the runs of suffixes that agree on any number of words to
+    the right; so do the words before the anchors, sorted nearest first, to the left. A window with its anchor after ``o`` words
+    repeats if another anchor is with it in both the run of ``length - o`` words to the right and that of ``o`` words to the left. All windows of an
+    anchor contain it, so those that repeat make one stretch, from the farthest to the left to the farthest to the right.
     """
-    # equal rows are one place
-    _, once = np.unique(np.stack([bucket.string, bucket.doc, bucket.start]), axis=1, return_index=True)
-    places = np.bincount(bucket.string[once], minlength=len(bucket.size))
-    string, offset, group = bucket.window_groups(length, candidates(bucket, gram))
-    if not len(string):
+    word, string = anchors(bucket, gram)
+    if not len(word):
         return []
-    flags = np.bincount(group, weights=places[string])[group] > 1
-    everywhere = superkmers.spans_of(bucket, flags, string, offset, np.arange(len(bucket.string)))
-    out = [[*everywhere, np.zeros(len(everywhere[0]), np.int64)]]
-    return out + [[*x, np.ones(len(x[0]), np.int64)] for x in later(bucket, length)]
+    reach = length - gram
+    left, right = contexts(bucket, word, string, reach, length)
+    n_left, n_right = (left != 0).sum(axis=1), (right != 0).sum(axis=1)
+    by_right, by_left = sorted_array(right), sorted_array(left)
+
+    # the places of each anchor, with ranks by document and word; equal rows are one place
+    order = np.argsort(bucket.string, kind="stable")
+    n = np.bincount(bucket.string, minlength=len(bucket.size))
+    begin = np.cumsum(n) - n
+    anchor = np.repeat(np.arange(len(word)), n[string])
+    of = order[np.repeat(begin[string] - np.cumsum(n[string]) + n[string], n[string]) + np.arange(len(anchor))]
+    doc, null, start = bucket.doc[of], bucket.null[of], bucket.start[of] + (word - bucket.first[string])[anchor]
+    ranked = np.lexsort((start, null, doc))
+    step = np.ones(len(ranked), np.int64)
+    step[1:] = (np.diff(doc[ranked]) != 0) | (np.diff(null[ranked]) != 0) | (np.diff(start[ranked]) != 0)
+    rank = np.empty(len(ranked), np.int64)
+    rank[ranked] = np.cumsum(step)
+    heads = np.cumsum(n[string]) - n[string]
+    least, most = np.minimum.reduceat(rank, heads), np.maximum.reduceat(rank, heads)
+
+    none = length + 1
+    far, near = np.full(len(word), -1), np.full(len(word), none)  # the greatest and the least o of a window that repeats
+    later_far, later_near = np.full(len(rank), -1), np.full(len(rank), none)
+    for o in range(reach + 1):
+        fits = (n_left >= o) & (n_right >= length - o)
+        run_right, more_right = runs_at(*by_right, length - o)
+        run_left, more_left = runs_at(*by_left, o)
+        both = np.flatnonzero(fits & more_right & more_left)
+        low, high = least.copy(), most.copy()
+        if len(both):
+            pair = run_right[both] * (len(word) + 1) + run_left[both]
+            own = np.argsort(pair, kind="stable")
+            edges = np.flatnonzero(np.concatenate(([True], np.diff(pair[own]) != 0)))
+            size = np.diff(np.concatenate((edges, [len(own)])))
+            low[both[own]] = np.repeat(np.minimum.reduceat(least[both[own]], edges), size)
+            high[both[own]] = np.repeat(np.maximum.reduceat(most[both[own]], edges), size)
+        again = fits & (low != high)
+        far[again] = o
+        near[again & (near == none)] = o
+        behind = (fits & (low != high))[anchor] & (low[anchor] < rank)
+        later_far[behind] = o
+        later_near[behind & (later_near == none)] = o
+
+    def found(last: np.ndarray, first: np.ndarray, flag: int) -> list[np.ndarray]:
+        own = np.flatnonzero(last >= 0)
+        return [doc[own], bucket.th[of[own]], start[own] - last[own], last[own] - first[own] + 1, np.full(len(own), flag, np.int64)]
+
+    return [found(far[anchor], near[anchor], 0), found(later_far, later_near, 1)]
 
 
 def repeated_passages(
@@ -78,7 +159,7 @@ def repeated_passages(
     Null and empty texts and texts under ``length`` words have no rows. A null doc_id comes after all others. Rows with equal doc_id and
     text are one place, and give one set of rows. An empty table gives an empty result; other columns are not read. Words are compared as
     they are. The suffixes kept are those at minimisers, about one of 22; each travels with the words around it that windows need, and
-    copies among some megabytes of text travel once, so a hot passage costs a place for each copy. Around an anchor that is very frequent
+    all that is found comes from comparing neighbours among them (``repeats``). Copies among some megabytes of text travel once, so a hot passage costs a place for each copy. Around an anchor that is very frequent
     windows travel one by one, dealt by their own hash.
     """
     rows = superkmers.keyed(docs)
@@ -95,12 +176,12 @@ def repeated_passages(
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             docs_, starts, sizes, laters = [], [], [], []
-            for doc, a, w, k in zip(*(b.column(c).to_pylist() for c in (0, 2, 3, 4)), strict=True):
+            for doc, th, a, w, k in zip(*(b.column(c).to_pylist() for c in range(5)), strict=True):
                 a, z, k = np.array(a), np.array(a) + np.array(w) + (length - 1), np.array(k, bool)
                 lo, hi = merged(a, z)
                 low, high = merged(a[k], z[k])
                 inside = np.searchsorted(lo, low, "right") - 1
-                docs_ += [None if doc == superkmers.LAST else doc] * len(lo)
+                docs_ += [None if th >> superkmers.NULL_BIT else doc] * len(lo)
                 starts += lo.tolist()
                 sizes += (hi - lo).tolist()
                 laters += np.bincount(inside, weights=high - low, minlength=len(lo)).astype(np.int64).tolist()

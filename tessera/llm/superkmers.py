@@ -28,8 +28,9 @@ LEVEL = 3
 #: A bucket of more bytes than this is hot.
 HOT_BYTES = 6 * BUCKET_BYTES
 
-#: Stands for a null doc_id.
+#: Stands for a null doc_id, together with this bit of ``th``, which sets it apart from a row of that number.
 LAST = (1 << 63) - 1
+NULL_BIT = 30
 
 U = np.uint64
 _C1, _C2 = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93)
@@ -265,22 +266,40 @@ class Bucket:
         self.size = np.fromiter((s.count(b" ") + 1 for s in strings), np.int64, len(strings))
         self.first = np.cumsum(self.size) - self.size
         #: The earliest place of each string.
-        order = np.lexsort((self.start, self.doc, self.string))
+        self.null = self.th >> NULL_BIT  # after every number
+        order = np.lexsort((self.start, self.null, self.doc, self.string))
         lead = np.flatnonzero(np.concatenate(([True], np.diff(self.string[order]) != 0)))
         self.least = order[lead]
 
-    def window_groups(self, length: int, strings: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(string, offset, group) of every window of the strings; equal windows, by two 64-bit hashes, have one group."""
-        ids = np.arange(len(self.size)) if strings is None else strings
-        counts = self.size[ids] - length + 1
-        string = np.repeat(ids, counts)
+    def window_groups(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(string, offset, group) of every window of the strings; windows of equal words have one group, and no others have.
+
+        Two 64-bit hashes bring equal windows together. The words of each are then compared with those of the group's first, and a group in
+        which hashes have met by chance is dealt again by its words.
+        """
+        counts = self.size - length + 1
+        string = np.repeat(np.arange(len(self.size)), counts)
         offset = np.arange(len(string)) - np.repeat(np.cumsum(counts) - counts, counts)
         at = self.first[string] + offset
         h, g = self.words.windows(at, length, 0), self.words.windows(at, length, 1)
         order = np.argsort(h, kind="stable")
-        new = np.concatenate(([0], (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1]))) if len(order) else np.zeros(0)
+        new = np.ones(len(order), bool)
+        new[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
+        ids = np.cumsum(new) - 1
         group = np.empty(len(order), np.int64)
-        group[order] = np.cumsum(new)
+        group[order] = ids
+        lead = order[np.flatnonzero(new)]
+        again = order[~new]
+        text = self.text
+        a, z = self.words.starts[at], self.words.ends[at + length - 1]
+        pairs = zip(a[again].tolist(), z[again].tolist(), a[lead[group[again]]].tolist(), z[lead[group[again]]].tolist(), strict=True)
+        wrong = [k for k, (i, j, x, y) in enumerate(pairs) if text[i:j] != text[x:y]]
+        if wrong:
+            mixed = np.flatnonzero(np.isin(group, np.unique(group[again[wrong]])))
+            names: dict[tuple[int, bytes], int] = {}
+            top = len(lead)
+            for k, own in zip(mixed.tolist(), group[mixed].tolist(), strict=True):
+                group[k] = top + names.setdefault((own, text[a[k] : z[k]]), len(names))
         return string, offset, group
 
 
@@ -322,8 +341,7 @@ def reduce(packed: DataFrame, deal: Deal, of: Callable[[Bucket], list[list[np.nd
         yield from out()
 
     names = [x.split()[0] for x in schema.split(",")]
-    buckets = deal.buckets + (deal.extra if len(deal.hot) else 0)
-    n = min(buckets, max(partitions(packed.sparkSession), buckets // 4))
+    n = partitions(packed.sparkSession)  # a task takes its buckets one by one, however many they are
     return packed.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 
@@ -337,9 +355,9 @@ def bucket_count(total: int) -> int:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc, th, text): doc_id as a bigint, after all others if null; 31 hash bits that tell rows of one doc_id apart; the text's bytes."""
-    text = F.coalesce("text", F.lit(""))
+    """(doc, th, text): doc_id as a bigint, the greatest if null; 30 hash bits that tell rows of one doc_id apart and one that marks a null; the text's bytes."""
+    text, doc = F.coalesce("text", F.lit("")), F.col("doc_id").cast("bigint")
+    tag = F.xxhash64("doc_id", text).bitwiseAND(F.lit((1 << NULL_BIT) - 1).cast("bigint"))
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("doc"),
-        F.xxhash64("doc_id", text).bitwiseAND(F.lit(0x7FFFFFFF).cast("bigint")).alias("th"), text.cast("binary").alias("text"),
-    )
+        F.coalesce(doc, F.lit(LAST)).alias("doc"), (tag + F.when(doc.isNull(), 1 << NULL_BIT).otherwise(0)).alias("th"), text.cast("binary").alias("text")
+    )
