@@ -11,6 +11,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tessera.llm.common import partitions
 from tessera.llm.urls import host, path
@@ -38,7 +39,11 @@ MARKS = {
     "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
 
-ARTICLE, OPEN, BOILERPLATE = 2, 1, 0
+#: Text that holds within ``article`` even where a page shares it: what stands directly in these or in ``LOOSE`` elements.
+PROSE = {"blockquote", "dl", "figure", "ol", "pre", "table", "ul"}
+
+#: Zones of a line: text of the article in such elements; other text in the article; outside of it, where markup tells nothing; not the article.
+CORE, ARTICLE, OPEN, BOILERPLATE = 3, 2, 1, 0
 
 
 def marked(rest: str) -> bool:
@@ -52,20 +57,20 @@ def marked(rest: str) -> bool:
 
 
 def lines(page: str) -> list[tuple[int, str]]:
-    """(zone, text) of each block of text in page order: ARTICLE, BOILERPLATE, or OPEN where markup tells neither.
+    """(zone, text) of each block of text in page order: BOILERPLATE, ARTICLE, or CORE and OPEN where markup leaves it to differencing.
 
     Block elements end a block, inline ones and line breaks don't. Elements without their end tags are closed by the end of the
     container around them; stray end tags only end a block. An unclosed comment or script lasts to the end.
     """
     out: list[tuple[int, str]] = []
     stack: list[tuple[str, int]] = []  # containers, with the zone before each
-    zone, loose, at, parts = OPEN, False, 0, []
+    zone, loose, prose, at, parts = OPEN, False, False, 0, []
     depth = 0  # of article and main
 
     def end() -> None:
         if parts:
             if text := " ".join(html.unescape("".join(parts)).split()):
-                out.append((BOILERPLATE if loose else zone, text))
+                out.append((BOILERPLATE if loose else ARTICLE if prose and zone == CORE else zone, text))
             parts.clear()
 
     pos, n = 0, len(page)
@@ -101,18 +106,21 @@ def lines(page: str) -> list[tuple[int, str]]:
         if name in VOID:
             continue
         if name in LOOSE:
-            loose = not m["close"] and marked(m["rest"])
+            prose = not m["close"]
+            loose = prose and marked(m["rest"])
             continue
-        loose = False
+        loose = prose = False
         if not m["close"]:
             if m["rest"].endswith("/"):
                 continue
             stack.append((name, zone))
             if name in ("article", "main"):
                 depth += 1
-                zone = ARTICLE if zone != BOILERPLATE and not marked(m["rest"]) else BOILERPLATE
+                zone = CORE if zone != BOILERPLATE and not marked(m["rest"]) else BOILERPLATE
             elif name in BOILER or name == "header" and not depth or name not in ("html", "body") and marked(m["rest"]):
                 zone = BOILERPLATE
+            elif name in PROSE and zone == CORE:
+                zone = ARTICLE
         elif any(x == name for x, _ in stack):
             while True:
                 x, zone = stack.pop()
@@ -162,18 +170,36 @@ def common(a: list, b: list, at: int = 0) -> list[int]:
     return edges + common(a[:mid], b[:cut], at) + common(a[mid:], b[cut:], at + mid) + last
 
 
-def templated(core: list[str], around: list[list[str]]) -> set[int]:
-    """The places in a page's core of lines that both its neighbours' cores have at the same place, counted from the start or from the end.
+#: Pages of one host are versions of each other if they share so much of their text.
+VERSION = 0.9
+
+
+def shared(own: list[tuple[int, str]], other: list[tuple[int, str]]) -> set[int]:
+    """The places of the lines of a page that a longest common subsequence of its lines and another page's contains."""
+    return set(common([t for _, t in own], [t for _, t in other]))
+
 
-    Neighbours with half of the core's lines or more are versions of the page and prove nothing, and neither does a single neighbour.
+def is_version(own: list[tuple[int, str]], other: list[tuple[int, str]]) -> bool:
+    """Whether two pages, less their boilerplate, share nine tenths of their characters."""
+    a, b = ([t for z, t in x if z != BOILERPLATE] for x in (own, other))
+    if a == b:
+        return True
+    alike = sum(len(a[k]) for k in common(a, b))
+    return 2 * alike >= VERSION * sum(map(len, a + b))
+
+
+def main_text(own: list[tuple[int, str]], around: list[list[tuple[int, str]]]) -> str:
+    """The text of a page, given the lines of the one or two pages nearest to it that aren't versions of it.
+
+    Lines that markup leaves open are deleted if a longest common subsequence of the page's lines and those of each page around contains them;
+    within ``article`` only if there are two such pages, neither of which shares half of the page's core. Paragraphs, headings, list
+    items, cells, quotations and preformatted text within ``article`` are never deleted, as pages also share whole passages.
     """
-    if len(around) < 2 or any(2 * len(common(core, y)) >= max(len(core), len(y)) for y in around):
-        return set()
-    n = len(core)
-    return {
-        k for k, t in enumerate(core)
-        if all(k < len(y) and y[k] == t for y in around) or all(n - k <= len(y) and y[k - n] == t for y in around)
-    }
+    both = [shared(own, y) for y in around]
+    gone = set.intersection(*both) if both else set()
+    core = [k for k, (z, _) in enumerate(own) if z >= ARTICLE]
+    firm = len(around) < 2 or any(2 * len(s.intersection(core)) >= len(core) for s in both)
+    return "\n".join(t for k, (z, t) in enumerate(own) if z != BOILERPLATE and not (k in gone and (z == OPEN or z == CORE and not firm)))
 
 
 def _order(pages: DataFrame) -> list:
@@ -182,47 +208,54 @@ def _order(pages: DataFrame) -> list:
     return [host(url).alias("h"), path(url).alias("p"), F.coalesce(url, F.lit("")).alias("u"), F.xxhash64("url", "page_id").alias("t")]
 
 
-def cuts(pages: DataFrame, n: int) -> tuple[list[tuple], list[tuple]]:
-    """The first and the last sort key of each of up to ``n`` ranges of pages; only page_id and url are read."""
+def cuts(pages: DataFrame, n: int) -> list[tuple[list[tuple], list[tuple]]]:
+    """The first two and the last two sort keys of each of up to ``n`` ranges of pages, in order; only page_id and url are read."""
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = last = None
+        head, tail = [], []
         for b in batches:
-            if b.num_rows:
-                first = first or b.slice(0, 1)
-                last = b.slice(b.num_rows - 1, 1)
-        if first is not None:
-            yield first
-            yield last
+            rows = [b.slice(k, 1) for k in (0, 1, b.num_rows - 2, b.num_rows - 1) if 0 <= k < b.num_rows]
+            head = (head + rows)[:2]
+            tail = (tail + rows)[-2:]
+        for k, found in enumerate((head, tail)):
+            for x in found:
+                yield pa.RecordBatch.from_arrays([*x.columns, pa.array([k], pa.int32())], [*x.schema.names, "side"])
 
     keys = pages.select(*_order(pages)).repartitionByRange(n, "h", "p", "u", "t").sortWithinPartitions("h", "p", "u", "t")
-    rows = [tuple(r) for r in keys.mapInArrow(ends, keys.schema).collect()]  # two keys for each range
-    rows.sort()
-    return rows[0::2], rows[1::2]
+    marked_ = keys.mapInArrow(ends, "h string, p string, u string, t bigint, side int").withColumn("r", F.spark_partition_id()).collect()
+    ranges: dict[int, tuple[list, list]] = {}
+    for r in marked_:
+        ranges.setdefault(r.r, ([], []))[r.side].append(tuple(r)[:4])
+    return sorted((sorted(set(a)), sorted(set(z))) for a, z in ranges.values())
 
 
 def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
     """(page_id, url, text, n_chars) for each row of ``pages``: the main text, blocks joined by line feeds, and its code points.
 
     Markup comes first. Blocks in menus, footers, asides, forms and elements whose class, id or role names a menu, header, footer,
-    sidebar, notice, advert or reader comments are not the text. Of the others, those within ``article`` or ``main`` are its core,
-    the rest are open. Differencing then runs on every page: pages of a host are sorted by path, and an open block is deleted if a
-    longest common subsequence of the page's lines and those of the page before or after it contains the block. A neighbour with
-    exactly the same lines is a copy, not a template, and deletes nothing. Pages also share passages, so a core block is
-    deleted only by ``templated``.
+    sidebar, notice, advert or reader comments are not the text. Differencing then runs on every page: pages of a host are sorted by path, and
+    a page is aligned, line by line, with the page before it and the page after it, or with two on one side at the host's ends. Pages with nearly the same text
+    are versions, which prove nothing; a run of versions is passed over to the nearest page that is none, so all of them have the same pages
+    around. ``main_text`` tells what is deleted.
 
     A null or empty page has an empty text. Pages without a host (a null url, or one without ``://``) have no neighbours. Rows
     with equal page_id and url stay separate rows. An empty table gives an empty result; other columns are not read.
 
     A first job sorts the urls alone and cuts them into ranges. Each page is then parsed once, sent to its range with
-    its lines compressed, and met there by its neighbours in order; the page at a range's edge is sent to the range next to
-    it too. So a host with a third of all pages spreads over many tasks, and a task holds three pages at a time.
+    its lines compressed, and met there by its neighbours in order; the two pages beyond each edge of a range are sent to it too. So a host with
+    a third of all pages spreads over many tasks. A task holds a run of versions at a time, compressed, of which a range has no more than its share of
+    all pages; a run of more than two versions across an edge is judged in each range by what that range has.
     """
     n = ranges or partitions(pages.sparkSession)
-    firsts, lasts = cuts(pages, n)
-    kind = pages.schema["page_id"].dataType.simpleString()
-    before = {k: i + 1 for i, k in enumerate(lasts[:-1])}
-    after = {k: i - 1 for i, k in enumerate(firsts) if i}
+    parts = cuts(pages, n)
+    kind = pages.schema["page_id"].dataType
+    firsts = [a[0] for a, _ in parts]
+    ghosts: dict[tuple, list[int]] = {}
+    for k in range(len(parts)):
+        before = [key for a, z in parts[max(0, k - 2) : k] for key in sorted({*a, *z})][-2:]
+        after = [key for a, z in parts[k + 1 : k + 3] for key in sorted({*a, *z})][:2]
+        for key in before + after:
+            ghosts.setdefault(key, []).append(k)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
@@ -233,7 +266,7 @@ def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
                 key = tuple(key)
                 body = "\n".join(f"{z}{t}" for z, t in lines(page or ""))
                 home = max(0, bisect_right(firsts, key) - 1)
-                for to in {home, before.get(key, home), after.get(key, home)}:
+                for to in (home, *ghosts.get(key, ())):
                     rows.append((to, to != home, *key, squeeze(body.encode("utf-8", "surrogatepass"))))
                     ids.append(k)
             out = pa.RecordBatch.from_pylist([dict(zip(("r", "ghost", "h", "p", "u", "t", "body"), x, strict=True)) for x in rows], parsed)
@@ -242,68 +275,76 @@ def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
     parsed = pa.schema([("r", pa.int32()), ("ghost", pa.bool_()), ("h", pa.string()), ("p", pa.string()), ("u", pa.string()), ("t", pa.int64()), ("body", pa.binary())])
     names = ["page_id", "url", *parsed.names]
     order = ["r", "h", "p", "u", "t", "body"]
+    ids = to_arrow_type(kind)
 
     def main(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spread = zstandard.ZstdDecompressor().decompress
-
-        def rows() -> Iterator[dict]:
-            for b in batches:
-                yield from b.to_pylist()
-
-        def read(x: dict) -> dict:
-            body = spread(x["body"]).decode("utf-8", "surrogatepass")
-            found = [(int(s[0]), s[1:]) for s in body.split("\n") if s]
-            x["core"] = [t for z, t in found if z == ARTICLE]
-            x["lines"] = found
-            return x
-
-        def beside(x: dict, y: dict | None) -> bool:
-            return y is not None and x["h"] != "" and (x["r"], x["h"]) == (y["r"], y["h"]) and x["lines"] != y["lines"]
-
-        def text(x: dict, around: tuple) -> str:
-            own = [t for _, t in x["lines"]]
-            near = [y for y in around if beside(x, y)]
-            gone: set[int] = set()
-            if any(z == OPEN for z, _ in x["lines"]):
-                for y in near:
-                    gone.update(common(own, [t for _, t in y["lines"]]))
-                gone = {k for k in gone if x["lines"][k][0] == OPEN}
-            places = [k for k, (z, _) in enumerate(x["lines"]) if z == ARTICLE]
-            gone.update(places[k] for k in templated(x["core"], [y["core"] for y in near]))
-            return "\n".join(t for k, (z, t) in enumerate(x["lines"]) if z != BOILERPLATE and k not in gone)
-
+        read = lambda body: [(int(s[0]), s[1:]) for s in spread(body).decode("utf-8", "surrogatepass").split("\n") if s]
         done: list[tuple] = []
+        size = 0
+
+        def settled(run: list, around: list) -> Iterator[pa.RecordBatch]:
+            """The rows of a run of versions, of which each distinct body is judged once."""
+            nonlocal size
+            _, bodies = run
+            for body, members in bodies.items():
+                if not members:
+                    continue
+                text = main_text(read(body), around)
+                for page_id, url in members:
+                    done.append((page_id, url, text))
+                    size += len(text)
+                    if size > 1 << 22:
+                        yield batch()
 
         def batch() -> pa.RecordBatch:
+            nonlocal size
             columns = [[d[k] for d in done] for k in range(3)]
             out = pa.RecordBatch.from_arrays([pa.array(columns[0], ids), *(pa.array(c, pa.string()) for c in columns[1:]), pa.array([len(t) for t in columns[2]], pa.int64())], ["page_id", "url", "text", "n_chars"])
             done.clear()
+            size = 0
             return out
 
-        last = now = None
-        size = 0
-        for nxt in map(read, rows()):
-            if now is not None and not now["ghost"]:
-                done.append((now["page_id"], now["url"], text(now, (last, nxt))))
-                size += len(done[-1][2])
-                if size > 1 << 22:
-                    yield batch()
-                    size = 0
-            last, now = now, nxt
-        if now is not None and not now["ghost"]:
-            done.append((now["page_id"], now["url"], text(now, (last, None))))
+        def finish(runs: list, last: bool) -> Iterator[pa.RecordBatch]:
+            """Settle the runs of a host for which the pages around are known: one on each side, or two on one side at the host's ends."""
+            while runs:
+                k = next((i for i, r in enumerate(runs) if r[1] is not None), len(runs))
+                if k == len(runs) or not last and len(runs) <= max(k + 1, 2):
+                    break
+                near = [runs[i][0] for i in ((k - 1, k + 1) if 0 < k < len(runs) - 1 else (k + 1, k + 2) if not k else (k - 2, k - 1)) if 0 <= i < len(runs)]
+                yield from settled(runs[k], near)
+                runs[k][1] = None
+            del runs[: max(0, next((i for i, r in enumerate(runs) if r[1] is not None), len(runs)) - 2)]
+
+        at, runs = None, []  # of the host: [lines of the first page, {body: rows}]
+        for b in batches:
+            for x in b.to_pylist():
+                place = (x["r"], x["h"])
+                if place != at or not x["h"]:
+                    yield from finish(runs, True)
+                    at, runs = place, []
+                own = None
+                if not runs or x["body"] not in (runs[-1][1] or ()):
+                    own = read(x["body"])
+                    if not runs or not is_version(own, runs[-1][0]):
+                        runs.append([own, {}])
+                        yield from finish(runs, False)
+                members = runs[-1][1].setdefault(x["body"], [])
+                if not x["ghost"]:
+                    members.append((x["page_id"], x["url"]))
+        yield from finish(runs, True)
         if done:
             yield batch()
 
-    ids = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
-    schema = f"page_id {kind}, url string, r int, ghost boolean, h string, p string, u string, t bigint, body binary"
+    shown = kind.simpleString()
+    schema = f"page_id {shown}, url string, r int, ghost boolean, h string, p string, u string, t bigint, body binary"
     rows = pages.select("page_id", "html", *_order(pages), "url").mapInArrow(parse, schema)
     return (
-        rows.repartition(n, "r").sortWithinPartitions(*order)
-        .mapInArrow(main, f"page_id {kind}, url string, text string, n_chars bigint")
+        rows.repartitionById(n, F.col("r")).sortWithinPartitions(*order)
+        .mapInArrow(main, f"page_id {shown}, url string, text string, n_chars bigint")
     )
 
 
 def extract_table(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_chars) for each row of ``pages``."""
+    """(page_id, url, text, n_chars) for each row of ``pages``; nulls, empty pages, repeated rows and an empty table are as in ``extract``."""
     return extract(pages.select("page_id", "url", "html"))
