@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from tessera.llm import decontaminate, html, mixing, quality, secrets, sharding, simhash, substrings, suffixes, urls
 from tessera.llm.common import table
+from tessera.llm.pipeline import run
 
 
 def op1_extract(spark, sf_dir):
@@ -48,7 +48,7 @@ def op10_secrets(spark, sf_dir):
 
 
 def pipeline(spark, sf_dir):
-    return corpus_pipeline.run(spark, sf_dir)
+    return run(spark, sf_dir)
 
 
 def queries():
