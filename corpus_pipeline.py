@@ -1,68 +1,5 @@
-"""The corpus pipeline: quality rules, near-duplicates, benchmark items, mixing and sharding, each written before the next."""
+"""The corpus pipeline, for ``STAGES`` and ``run``; the stages are in ``tessera.llm.pipeline``."""
 
-from __future__ import annotations
+from tessera.llm.pipeline import ORACLE_SQL, STAGES, run
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-from tessera.llm import decontaminate, mixing, quality, sharding, simhash
-from tessera.llm.common import table
-
-
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality rules keep; an empty table stays empty."""
-    return quality.quality_filter(docs)
-
-
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that of the smallest doc_id."""
-    return simhash.deduplicate(docs)
-
-
-def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that contain no benchmark item."""
-    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-
-
-def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix draws them."""
-    return mixing.mixed(docs)
-
-
-def byte_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The manifest of the shards: a row for each document that the mix has drawn, with its shard and slot."""
-    return sharding.shard_table(docs)
-
-
-STAGES = [
-    ("quality_rules", quality_rules),
-    ("near_dedup", near_dedup),
-    ("benchmark_decontamination", benchmark_decontamination),
-    ("source_mixing", source_mixing),
-    ("byte_sharding", byte_sharding),
-]
-
-#: SQL has no XXH64 and no differencing; the tests hold the stages against brute force.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for the table ``documents``; each stage's rows are written as Parquet and read again.
-
-    The files go to the shared folder of ``spark.checkpoint.dir`` (to a temporary folder only where that is unset); a stage's are
-    deleted when the next has been written, the last one's when the session ends.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
-    top = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    store = path(top).getFileSystem(spark._jsc.hadoopConfiguration())
-    store.deleteOnExit(path(top))
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{top}/{k}-{name}")
-        docs = spark.read.parquet(f"{top}/{k}-{name}")
-        if k:
-            store.delete(path(f"{top}/{k - 1}-{STAGES[k - 1][0]}"), True)
-    return docs
+__all__ = ["ORACLE_SQL", "STAGES", "run"]
