@@ -172,6 +172,8 @@ def common(a: list, b: list, at: int = 0) -> list[int]:
 
 #: Pages of one host are versions of each other if they share so much of their text.
 VERSION = 0.9
+#: Pages beyond each edge of a range that are sent to it too.
+BEYOND = 4
 
 
 def shared(own: list[tuple[int, str]], other: list[tuple[int, str]]) -> set[int]:
@@ -209,14 +211,13 @@ def _order(pages: DataFrame) -> list:
 
 
 def cuts(pages: DataFrame, n: int) -> list[tuple[list[tuple], list[tuple]]]:
-    """The first two and the last two sort keys of each of up to ``n`` ranges of pages, in order; only page_id and url are read."""
+    """The first and the last ``BEYOND`` sort keys of each of up to ``n`` ranges of pages, in order; only page_id and url are read."""
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, tail = [], []
         for b in batches:
-            rows = [b.slice(k, 1) for k in (0, 1, b.num_rows - 2, b.num_rows - 1) if 0 <= k < b.num_rows]
-            head = (head + rows)[:2]
-            tail = (tail + rows)[-2:]
+            head += [b.slice(k, 1) for k in range(min(b.num_rows, BEYOND - len(head)))]
+            tail = (tail + [b.slice(k, 1) for k in range(max(0, b.num_rows - BEYOND), b.num_rows)])[-BEYOND:]
         for k, found in enumerate((head, tail)):
             for x in found:
                 yield pa.RecordBatch.from_arrays([*x.columns, pa.array([k], pa.int32())], [*x.schema.names, "side"])
@@ -242,9 +243,9 @@ def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
     with equal page_id and url stay separate rows. An empty table gives an empty result; other columns are not read.
 
     A first job sorts the urls alone and cuts them into ranges. Each page is then parsed once, sent to its range with
-    its lines compressed, and met there by its neighbours in order; the two pages beyond each edge of a range are sent to it too. So a host with
+    its lines compressed, and met there by its neighbours in order; the ``BEYOND`` pages beyond each edge of a range are sent to it too. So a host with
     a third of all pages spreads over many tasks. A task holds a run of versions at a time, compressed, of which a range has no more than its share of
-    all pages; a run of more than two versions across an edge is judged in each range by what that range has.
+    all pages; where these pages are all versions, the pages at an edge are judged by fewer pages around.
     """
     n = ranges or partitions(pages.sparkSession)
     parts = cuts(pages, n)
@@ -252,8 +253,8 @@ def extract(pages: DataFrame, ranges: int | None = None) -> DataFrame:
     firsts = [a[0] for a, _ in parts]
     ghosts: dict[tuple, list[int]] = {}
     for k in range(len(parts)):
-        before = [key for a, z in parts[max(0, k - 2) : k] for key in sorted({*a, *z})][-2:]
-        after = [key for a, z in parts[k + 1 : k + 3] for key in sorted({*a, *z})][:2]
+        before = [key for a, z in parts[max(0, k - BEYOND) : k] for key in sorted({*a, *z})][-BEYOND:]
+        after = [key for a, z in parts[k + 1 : k + 1 + BEYOND] for key in sorted({*a, *z})][:BEYOND]
         for key in before + after:
             ghosts.setdefault(key, []).append(k)
 

@@ -25,6 +25,8 @@ HASH_BYTES = 1_000_000
 #: Bytes of text in a bucket's super-k-mers, about.
 BUCKET_BYTES = 6 << 20
 LEVEL = 3
+#: Tasks that the buckets are dealt to, at most; a task holds one bucket at a time.
+MOST_TASKS = 20_000
 #: A bucket of more bytes than this is hot.
 HOT_BYTES = 6 * BUCKET_BYTES
 
@@ -341,7 +343,7 @@ def reduce(packed: DataFrame, deal: Deal, of: Callable[[Bucket], list[list[np.nd
         yield from out()
 
     names = [x.split()[0] for x in schema.split(",")]
-    n = partitions(packed.sparkSession)  # a task takes its buckets one by one, however many they are
+    n = min(MOST_TASKS, max(partitions(packed.sparkSession), deal.buckets // 8))  # a task takes its buckets one by one, however many they are
     return packed.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
 
 

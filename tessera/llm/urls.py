@@ -205,9 +205,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None =
         .select("u_id", "u_n", "u_rule", F.coalesce("u_action", "u_alias", F.lit("allow")).alias("u_verdict"))
     )
     kept = [c for c in pages.columns if c not in ("u_host", "u_path", "u_rule", "u_verdict")]
-    rows = pages.select(*kept, host(F.col("url")).alias("u_host"), path(F.col("url")).alias("u_path"), F.coalesce("url", F.lit("")).alias("u_id"))
+    inner = [c if c == "url" else f"k{k}" for k, c in enumerate(kept)]
+    rows = pages.select(*kept).toDF(*inner).select(*inner, host(F.col("url")).alias("u_host"), path(F.col("url")).alias("u_path"), F.coalesce("url", F.lit("")).alias("u_id"))
     total = known.agg(F.sum("u_n")).first()[0] or 0
-    return spread_join(rows, known, "u_id", "u_n", total).select(*kept, "u_host", "u_path", "u_rule", "u_verdict")
+    return spread_join(rows, known, "u_id", "u_n", total).select(*inner, "u_host", "u_path", "u_rule", "u_verdict").toDF(*kept, "u_host", "u_path", "u_rule", "u_verdict")
 
 
 def url_table(pages: DataFrame) -> DataFrame:
@@ -233,7 +234,7 @@ p AS (SELECT page_id, url, html, lower(coalesce(regexp_extract(url, '(?s)^.*?://
 coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 tags AS (SELECT url, unnest(regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script>', ' ', 'g'), '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM p WHERE url LIKE '%://%'),
 t AS (SELECT url, CASE WHEN regexp_matches({value("rel")}, '(?i)(^|\s)canonical(\s|$)') THEN {value("href")}
-WHEN lower({value("http-equiv")}) = 'refresh' THEN regexp_extract({value("content")}, '(?is)url\s*=\s*(.*)$', 1) END AS dst FROM tags),
+WHEN lower({value("http-equiv")}) = 'refresh' THEN regexp_extract({value("content")}, '(?is)url\s*=\s*[''"]?(.*)$', 1) END AS dst FROM tags),
 r AS (SELECT url, regexp_extract(url, '^([^:]*:)//', 1) AS scheme, regexp_extract(url, '^[^:]*://[^/?#]*', 0) AS root,
 regexp_extract(url, '^[^:]*://[^/?#]*(/(?:[^?#]*/)?)', 1) AS folder, dst FROM t WHERE dst <> ''),
 v AS (SELECT url, CASE WHEN regexp_matches(dst, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN dst WHEN dst LIKE '//%' THEN scheme || dst WHEN dst LIKE '/%' THEN root || dst
