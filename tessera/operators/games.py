@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.sfen import elo
-from tessera.plans.physical import small
+from tessera.plans.physical import checkpoint, small
 
 
 def eval_below(df: DataFrame, limit: int, value: str = "value") -> DataFrame:
@@ -91,30 +91,29 @@ def player_stats(games: DataFrame, matches) -> DataFrame:
     )
 
 
-def rated_players(games: DataFrame, least: float) -> DataFrame:
-    """The players who were ever rated at or above ``least``."""
+def best_ratings(games: DataFrame) -> DataFrame:
+    """(player, best): the highest rating that a player ever had; players never rated have no row."""
     both = F.explode(F.array(F.struct(F.col("black").alias("player"), F.col("black_rate").alias("r")), F.struct(F.col("white").alias("player"), F.col("white_rate").alias("r"))))
-    return games.select(both.alias("x")).where(F.col("x.r") >= least).select("x.player").distinct()
+    return games.select(both.alias("x")).where("x.r IS NOT NULL").groupBy("x.player").agg(F.max("x.r").alias("best"))
 
 
 def rating_semi_join(games: DataFrame, both: float, loser: float, drawer: float, external: DataFrame | None = None) -> DataFrame:
     """Games of two players ever rated ``both``, or lost by one ever rated ``loser``, or drawn by one rated ``drawer``.
 
-    The sets of players are semi-joins on aggregated names; ``external`` (player, rate) adds players.
+    Whether a player was ever rated so much is told by the highest rating, a partial aggregate that is made once and joined to each
+    side. ``external`` (player, rate) adds ratings.
     """
-
-    def rated(least: float, name: str) -> DataFrame:
-        found = rated_players(games, least)
-        if external is not None:
-            found = found.unionByName(external.where(F.col("rate") >= least).select("player")).distinct()
-        return small(found.select(F.col("player").alias(name), F.lit(True).alias(f"in_{name}")))
-
-    x = games.withColumn("lost_by", F.when(F.col("winner") == 0, F.col("white")).when(F.col("winner") == 1, F.col("black")))
-    for column, least, name in (("black", both, "b1"), ("white", both, "w1"), ("lost_by", loser, "l2"), ("black", drawer, "b3"), ("white", drawer, "w3")):
-        x = x.join(rated(least, name), F.col(column) == F.col(name), "left").drop(name)
-    yes = lambda n: F.coalesce(F.col(f"in_{n}"), F.lit(False))
-    keep = (yes("b1") & yes("w1")) | yes("l2") | ((F.col("winner") == 2) & (yes("b3") | yes("w3")))
-    return x.where(keep).select(games.columns)
+    best = best_ratings(games)
+    if external is not None:
+        best = best.unionByName(external.select("player", F.col("rate").alias("best"))).groupBy("player").agg(F.max("best").alias("best"))
+    best = small(checkpoint(best))
+    x = games
+    for side in ("black", "white"):
+        x = x.join(best.select(F.col("player").alias(f"r_{side}"), F.col("best").alias(f"best_{side}")), F.col(side) == F.col(f"r_{side}"), "left")
+    least = lambda side, n: F.coalesce(F.col(f"best_{side}") >= n, F.lit(False))
+    lost = F.when(F.col("winner") == 0, least("white", loser)).when(F.col("winner") == 1, least("black", loser)).otherwise(False)
+    drawn = (F.col("winner") == 2) & (least("black", drawer) | least("white", drawer))
+    return x.where((least("black", both) & least("white", both)) | lost | drawn).select(games.columns)
 
 
 def finalist_games(games: DataFrame, finalists: DataFrame) -> DataFrame:

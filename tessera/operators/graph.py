@@ -20,7 +20,7 @@ def bfs(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
     One join, one distinct and one anti-join per level, each level checkpointed; only whether a level is empty reaches the driver.
     """
     out = level = checkpoint(roots.select("node").distinct().withColumn("level", F.lit(0)))
-    steps = edges.select(F.col("src").alias("node"), "dst").distinct()
+    steps = checkpoint(edges.select(F.col("src").alias("node"), "dst").distinct())
     for k in range(1, depth + 1):
         reached = level.join(steps, "node").select(F.col("dst").alias("node")).distinct()
         level = checkpoint(reached.join(out, "node", "left_anti").withColumn("level", F.lit(k)))
@@ -42,8 +42,9 @@ def pruned_bfs(edges: DataFrame, roots: DataFrame, turn: int, diff: int, depth:
     first; among paths of one length the least by root and move indexes, which is the order in which a first-in
     first-out walk visits. Leaves are nodes without moves.
     """
+    edges = checkpoint(edges)
     best = edges.groupBy("src").agg(F.max("value").alias("best"))
-    e = edges.join(best, "src").withColumnRenamed("src", "node")
+    e = checkpoint(edges.join(best, "src").withColumnRenamed("src", "node"))
     root = roots.select("node", F.col("idx").alias("root_idx")).join(best.withColumnRenamed("src", "node"), "node", "left")
     level = checkpoint(root.select("node", F.lit(0).alias("level"), F.array(F.col("root_idx").cast("int")).alias("path"), F.coalesce("best", F.lit(0)).alias("root_best")))
     out = level
@@ -65,7 +66,7 @@ def best_walk(edges: DataFrame, roots: DataFrame, steps: int) -> DataFrame:
 
     A repetition or too many steps give a null node.
     """
-    first = edges.where("idx = 0").select(F.col("src").alias("node"), F.col("dst").alias("following"))
+    first = checkpoint(edges.where("idx = 0").select(F.col("src").alias("node"), F.col("dst").alias("following")))
     walk = checkpoint(roots.select(F.col("node").alias("root"), "node", F.array("node").alias("seen"), F.lit(False).alias("done")))
     for _ in range(steps):
         x = walk.join(first, "node", "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.plans.physical import global_rank
@@ -110,3 +110,28 @@ def write_numbered(df: DataFrame, path: str, order: Sequence[str], format: str =
     """A folder ``file_no=<n>`` for each file, rows in order in each; refuses to overwrite unless ``force``."""
     out = df.repartitionByRange("file_no").sortWithinPartitions("file_no", *order)
     out.write.mode("overwrite" if force else "errorifexists").partitionBy("file_no").format(format).save(path)
+
+
+def write_lines(df: DataFrame, path: str, at: str) -> None:
+    """K7: (at, line) as text in order: each file holds a range of places, and a line begins with its place and a tab."""
+    out = df.repartitionByRange(at).sortWithinPartitions(at)
+    out.select(F.concat(F.col(at).cast("string"), F.lit("\t"), "line").alias("value")).write.text(path)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(at, line) of what ``write_lines`` has written."""
+    return spark.read.text(path).select(F.split("value", "\t", 2)[0].cast("bigint").alias("at"), F.split("value", "\t", 2)[1].alias("line"))
+
+
+def backup_name(base: Column, stamp: Column, n: Column, ply: Column) -> Column:
+    """``base-YYYYMMDDHHMMSS_n`` and ``_ply<l>`` if a limit is given."""
+    return F.concat(base, F.lit("-"), stamp, F.lit("_"), n.cast("string"), F.coalesce(F.concat(F.lit("_ply"), ply.cast("string")), F.lit("")))
+
+
+def latest_backups(names: DataFrame, name: str) -> DataFrame:
+    """(base, stamp, n, ply): the newest backup of each base name; names of another form are passed over."""
+    form = r"^(.*)-(\d{14})_(\d+)(?:_ply(\d+))?$"
+    part = lambda k: F.regexp_extract(name, form, k)
+    x = names.where(F.col(name).rlike(form)).select(part(1).alias("base"), part(2).alias("stamp"), part(3).cast("bigint").alias("n"), F.nullif(part(4), F.lit("")).cast("int").alias("ply"))
+    newest = F.struct("stamp", "n")
+    return x.groupBy("base").agg(F.max_by(F.struct("stamp", "n", "ply"), newest).alias("b")).select("base", "b.*")

@@ -2,40 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.sfen import flip_move
 from tessera.operators import books, games, graph, layout, windows
 from tessera.plans.projections import projection, sql
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from tessera.plans.registry import moves, query, table
 
 MERGED = """merged AS (SELECT key, move, arg_max(value, seq) AS value, arg_max(depth, seq) AS depth, CAST(sum(move_count) AS BIGINT) AS move_count,
 min(seq) AS slot FROM book_move GROUP BY key, move)"""
 
 
-def query(oracle: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if oracle is not None:
-            ORACLES[f.__name__] = oracle
-        return f
-
-    return add
-
-
-def moves(spark, sf_dir, where: str = "true") -> DataFrame:
-    return projection(spark, sf_dir, "book_move").where(where)
-
-
-def table(spark, sf_dir, name) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 @query(f"WITH {sql('book_move')}, {MERGED} SELECT key, move, value, depth, move_count, slot FROM merged")
 def book_dedup(spark, sf_dir):
     return books.merge_duplicates(moves(spark, sf_dir))
@@ -80,10 +58,10 @@ def best_move(spark, sf_dir):
 
 @query(f"""WITH {sql("book_move")}, k AS (SELECT key, move, seq, value / 10000.0 AS score, row_number() OVER (PARTITION BY key ORDER BY value DESC, seq, move) AS rank FROM book_move),
 e AS (SELECT *, exp(score - max(score) OVER (PARTITION BY key)) AS e FROM k WHERE rank <= 3)
-SELECT key, move, seq, CAST(rank AS INT) AS rank, round(e / sum(e) OVER (PARTITION BY key), 6) AS prob FROM e""")
+SELECT key, move, seq, CAST(rank AS INT) AS rank, round(e / sum(e) OVER (PARTITION BY key), 6) AS prob, CAST(floor(e / sum(e) OVER (PARTITION BY key) * 65535) AS INT) AS u16 FROM e""")
 def topk_softmax(spark, sf_dir):
     scored = moves(spark, sf_dir).select("key", "move", "seq", (F.col("value") / 10000.0).alias("score"))
-    return windows.top_softmax(scored, "key", "score", ["seq", "move"], 3).select("key", "move", "seq", "rank", F.round("prob", 6).alias("prob"))
+    return windows.top_softmax(scored, "key", "score", ["seq", "move"], 3).select("key", "move", "seq", "rank", F.round("prob", 6).alias("prob"), "u16")
 
 
 @query(f"""WITH {sql("book_move")}, b AS (SELECT key, move, CAST(floor(value / 10000) AS INT) AS value, seq FROM book_move),
@@ -233,13 +211,14 @@ def split_fixed(spark, sf_dir):
     return layout.split_fixed(orders(spark, sf_dir).select("o_orderkey"), ["o_orderkey"], 1000)
 
 
-@query(f"""WITH RECURSIVE {sql("book_move")}, s AS (SELECT book, key, move, seq, move_count, row_number() OVER (PARTITION BY book ORDER BY seq, key, move) AS k FROM book_move WHERE key <= 2000),
-f AS (SELECT book, k, key, move, seq, move_count, move_count AS total, CAST(0 AS BIGINT) AS output FROM s WHERE k = 1 UNION ALL
-SELECT s.book, s.k, s.key, s.move, s.seq, s.move_count, CASE WHEN f.total > 0 AND f.total + s.move_count > 100 THEN s.move_count ELSE f.total + s.move_count END,
-CASE WHEN f.total > 0 AND f.total + s.move_count > 100 THEN f.output + 1 ELSE f.output END FROM f JOIN s ON s.book = f.book AND s.k = f.k + 1)
-SELECT book, key, move, seq, output FROM f""")
+@query(f"""WITH {sql("book_move")}, l AS (SELECT book, list(struct_pack(key := key, move := move, seq := seq, n := move_count) ORDER BY seq, key, move) AS xs FROM book_move GROUP BY book),
+f AS (SELECT book, list_reduce(list_transform(xs, lambda x: [struct_pack(key := x.key, move := x.move, seq := x.seq, total := x.n, output := CAST(0 AS BIGINT))]),
+lambda a, b: list_append(a, struct_pack(key := b[1].key, move := b[1].move, seq := b[1].seq,
+total := CASE WHEN a[-1].total > 0 AND a[-1].total + b[1].total > 100 THEN b[1].total ELSE a[-1].total + b[1].total END,
+output := CASE WHEN a[-1].total > 0 AND a[-1].total + b[1].total > 100 THEN a[-1].output + 1 ELSE a[-1].output END))) AS ys FROM l)
+SELECT book, y.key AS key, y.move AS move, y.seq AS seq, y.output AS output FROM (SELECT book, unnest(ys) AS y FROM f)""")
 def greedy_fit(spark, sf_dir):
-    x = moves(spark, sf_dir, "key <= 2000").select("book", "key", "move", "seq", "move_count")
+    x = moves(spark, sf_dir).select("book", "key", "move", "seq", "move_count")
     return layout.greedy_fit(x, "book", ["seq", "key", "move"], "move_count", 100).drop("move_count")
 
 
@@ -317,7 +296,7 @@ def eval_drop(spark, sf_dir):
     return windows.eval_drop(projection(spark, sf_dir, "position_eval"), "game", ["ply", "tie"], "ply", "value", 5000).select("game", "ply", "value")
 
 
-EDGE = f"""{sql("edge")}, e AS (SELECT src, dst, value, CAST(k - 1 AS INT) AS idx FROM (
+EDGE = f"""{sql("edge")}, e AS MATERIALIZED (SELECT src, dst, value, CAST(k - 1 AS INT) AS idx FROM (
 SELECT *, row_number() OVER (PARTITION BY src ORDER BY value DESC, seq, dst) AS k FROM edge) WHERE k <= 2)"""
 
 
@@ -338,9 +317,10 @@ def bfs_ply(spark, sf_dir):
     return graph.bfs(edges(spark, sf_dir), roots(spark), 5)
 
 
-@query(f"{BFS} SELECT node, level FROM b WHERE node NOT IN (SELECT src FROM e)")
+@query(f"""{BFS.replace("e AS MATERIALIZED (", "e AS MATERIALIZED (SELECT * FROM (").replace("WHERE k <= 2)", "WHERE k <= 2) WHERE src % 3 <> 0)", 1)}
+SELECT node, level FROM b WHERE node NOT IN (SELECT src FROM e)""")
 def bfs_leaves(spark, sf_dir):
-    return graph.leaves(edges(spark, sf_dir), roots(spark), 5)
+    return graph.leaves(edges(spark, sf_dir).where("src % 3 <> 0"), roots(spark), 5)
 
 
 def _pruned(depth: int, turn: int, diff: int) -> str:

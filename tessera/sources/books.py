@@ -24,7 +24,7 @@ APERY = struct.Struct("<QHHi")
 def read_db(spark: SparkSession, path: str, ignore_ply: bool = False, miner: bool = False) -> DataFrame:
     """(key, seq, move, ponder, value, depth, move_count) of a text book.
 
-    Records are cut at lines that begin with ``sfen``, so files split among tasks and each row is a position with its moves; what
+    Records are cut at lines that begin with ``sfen``, so files split among tasks and each row is a position with its moves; whatever
     stands before the first position and lines that begin with # or // are skipped. Move lines have spaces or commas between fields; missing
     numbers are zero. ``miner`` drops moves whose value is None. ``seq`` is the place in the position's list; positions that occur twice
     stay separate blocks, told apart by ``block``.
@@ -32,7 +32,8 @@ def read_db(spark: SparkSession, path: str, ignore_ply: bool = False, miner: boo
     blocks = spark.read.option("lineSep", "\nsfen ").text(path)
     text = F.regexp_replace("value", r"^\x{FEFF}?sfen ", "")
     lines = F.transform(F.split(text, "\n"), lambda x: F.rtrim(F.trim(F.replace(x, F.lit("\r"), F.lit("")))))
-    x = blocks.where(~F.col("value").startswith("#") | F.col("value").contains("\nsfen ")).select(F.monotonically_increasing_id().alias("block"), lines.alias("lines"))
+    is_position = F.regexp_replace("value", r"^\x{FEFF}", "").rlike(r"^(sfen )?\S+ [bw] \S+")  # what stands before the first position of a file is none
+    x = blocks.where(is_position).select(F.monotonically_increasing_id().alias("block"), lines.alias("lines"))
     key = F.col("lines")[0]
     kept = F.filter(F.slice("lines", 2, 1 << 30), lambda s: (s != "") & ~s.startswith("#") & ~s.startswith("//"))
     x = x.select("block", (trim_ply(key) if ignore_ply else key).alias("key"), F.posexplode(kept).alias("seq", "line"))

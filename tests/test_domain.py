@@ -97,6 +97,13 @@ def test_db_book(spark, tmp_path):
     assert text.startswith(book_files.DB_HEADER.encode() + b"\r\nsfen a b - 1\r\n7g7f none 30 4 5\r\n") and text.count(b"sfen ") == 2
 
 
+def test_db_prelude(spark, tmp_path):
+    body = "sfen a b - 1\r\n7g7f none 1 1 1\r\n"
+    for k, before in enumerate(("", "\ufeff", "made by hand\r\n8c8d none 9 9 9\r\n", book_files.DB_HEADER + "\n", "\n\n// x\n7g7f none 5 5 5\n")):
+        (tmp_path / f"{k}.db").write_text(before + body, newline="")
+        assert [(r.key, r.move, r.value) for r in book_files.read_db(spark, str(tmp_path / f"{k}.db")).collect()] == [("a b - 1", "7g7f", 1)]
+
+
 def test_ybb_book(spark, tmp_path):
     moves = [("7g7f", 10, 3), ("2g2f", -5, 1)]
     data = book_files.encode_ybb([(codec.pack(START), 1, moves), (codec.pack(MID), 7, moves[:1])])

@@ -5,7 +5,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from tessera.plans import catalog
+from tessera.plans import catalog, domain, formats, registry  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents pages conversations".split()
@@ -28,11 +28,11 @@ def plain(rows):
     return Counter(tuple(one(x) for x in r) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_query(spark, duck, name):
-    got = catalog.QUERIES[name](spark, SF)
+    got = registry.QUERIES[name](spark, SF)
     columns = sorted(got.columns)
-    want = duck.execute(catalog.ORACLES[name])
+    want = duck.execute(registry.ORACLES[name])
     assert sorted(d[0] for d in want.description) == columns
     order = [[d[0] for d in want.description].index(c) for c in columns]
     rows = [tuple(r[k] for k in order) for r in want.fetchall()]
