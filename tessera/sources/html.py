@@ -15,7 +15,7 @@ def links(pages: DataFrame) -> DataFrame:
 
 def rating_table(pages: DataFrame) -> DataFrame:
     """(name, rating) of the rows of tables of class ``player-rating``: the text of the first two cells."""
-    tables = F.explode(F.regexp_extract_all("html", F.lit(r'(?is)<table[^>]*\bclass\s*=\s*["']?[^"'>]*player-rating[^>]*>(.*?)</table>'), 1))
+    tables = F.explode(F.regexp_extract_all("html", F.lit(r"""(?is)<table[^>]*\bclass\s*=\s*["']?[^"'>]*player-rating[^>]*>(.*?)</table>"""), 1))
     rows = pages.select(tables.alias("t")).select(F.explode(F.regexp_extract_all("t", F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1)).alias("r"))
     cells = rows.select(F.regexp_extract_all("r", F.lit(r"(?is)<td[^>]*>(.*?)</td>"), 1).alias("c")).where(F.size("c") >= 2)
     text = lambda c: F.trim(F.regexp_replace(c, r"<[^>]*>", ""))
