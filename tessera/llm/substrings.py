@@ -31,8 +31,7 @@ def later(bucket: Bucket, length: int = LENGTH) -> list[list[np.ndarray]]:
     lead = order[np.flatnonzero(new)][np.cumsum(new) - 1]
     flags = np.zeros(len(order), bool)
     flags[order] = (doc[order] != doc[lead]) | (null[order] != null[lead]) | (start[order] != start[lead])
-    least = bucket.least[bucket.string]
-    first = (bucket.doc == bucket.doc[least]) & (bucket.null == bucket.null[least]) & (bucket.start == bucket.start[least])
+    first = bucket.leads()
     copies = np.flatnonzero(~first)
     whole = bucket.size[bucket.string[copies]] - length + 1
     return [
@@ -41,11 +40,17 @@ def later(bucket: Bucket, length: int = LENGTH) -> list[list[np.ndarray]]:
     ]
 
 
+def copies(bucket: Bucket) -> list[list[np.ndarray]]:
+    """Runs of the windows, one a string, at all but their earliest places."""
+    own = np.flatnonzero(~bucket.leads())
+    return [[bucket.doc[own], bucket.th[own], bucket.start[own], np.ones(len(own), np.int64)]]
+
+
 def repeated_spans(rows: DataFrame, length: int, gram: int, buckets: int, hot_bytes: int = superkmers.HOT_BYTES) -> DataFrame:
     """(doc, th, start, windows): runs of windows that also start earlier, in ``rows``, a result of ``superkmers.keyed``."""
     deal = superkmers.plan(rows, length, gram, buckets, hot_bytes)
     packed = superkmers.pack(rows, deal)
-    return superkmers.reduce(packed, deal, lambda b: later(b, length), "doc bigint, th bigint, start bigint, windows bigint")
+    return superkmers.reduce(packed, deal, lambda b: later(b, length), copies, "doc bigint, th bigint, start bigint, windows bigint")
 
 
 def text_blobs(rows: DataFrame) -> DataFrame:

@@ -147,6 +147,14 @@ def repeats(bucket: Bucket, length: int, gram: int) -> list[list[np.ndarray]]:
     return [found(far[anchor], near[anchor], 0), found(later_far, later_near, 1)]
 
 
+def copies(bucket: Bucket) -> list[list[np.ndarray]]:
+    """What ``repeats`` returns for windows, one a string, that have two places: all of these, and all but the earliest as later ones."""
+    lead = bucket.leads()
+    twice = np.bincount(bucket.string[~lead], minlength=len(bucket.size)) > 0
+    runs = lambda own, flag: [bucket.doc[own], bucket.th[own], bucket.start[own], np.ones(len(own), np.int64), np.full(len(own), flag, np.int64)]
+    return [runs(np.flatnonzero(twice[bucket.string]), 0), runs(np.flatnonzero(~lead), 1)]
+
+
 def repeated_passages(
     docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buckets: int | None = None, hot_bytes: int = superkmers.HOT_BYTES
 ) -> DataFrame:
@@ -160,14 +168,14 @@ def repeated_passages(
     text are one place, and give one set of rows. An empty table gives an empty result; other columns are not read. Words are compared as
     they are. The suffixes kept are those at minimisers, about one of 22; each travels with the words around it that windows need, and
     all that is found comes from comparing neighbours among them (``repeats``). Copies among some megabytes of text travel once, so a hot passage costs a place for each copy. Around an anchor that is very frequent
-    windows travel one by one, dealt by their own hash.
+    windows travel one by one, dealt by their own hash and then in pieces.
     """
     rows = superkmers.keyed(docs)
     n = buckets or superkmers.bucket_count(superkmers.text_bytes(rows))
     deal = superkmers.plan(rows, length, gram, n, hot_bytes)
     packed = superkmers.pack(rows, deal)
     schema = "doc bigint, th bigint, start bigint, windows bigint, later bigint"
-    runs = superkmers.reduce(packed, deal, lambda b: repeats(b, length, gram), schema)
+    runs = superkmers.reduce(packed, deal, lambda b: repeats(b, length, gram), copies, schema)
     per_doc = (
         runs.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "windows", "later")).alias("x"))
         .select("doc", "th", "x.start", "x.windows", "x.later")

@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import partitions
+from tessera.llm.common import checkpoint, partitions
 
 #: Bytes of text that are packed at once, and words of a long text in one piece.
 CHUNK_BYTES = 4_000_000
@@ -27,6 +27,8 @@ BUCKET_BYTES = 6 << 20
 LEVEL = 3
 #: Tasks that the buckets are dealt to, at most; a task holds one bucket at a time.
 MOST_TASKS = 20_000
+#: Pieces of a hot bucket, at least.
+PIECES = 16
 #: A bucket of more bytes than this is hot.
 HOT_BYTES = 6 * BUCKET_BYTES
 
@@ -236,13 +238,17 @@ def blobs(held: list[tuple[int, int, int, list[bytes]]], deal: Deal) -> Iterator
         strings: dict[bytes, int] = {}
         index = np.array([strings.setdefault(text[a[k] : z[k]], len(strings)) for k in own.tolist()], np.int32)
         w = which[own]
-        places = (np.diff(docs[w], prepend=0), place[own], tags[w].astype(np.int32), np.diff(index, prepend=np.int32(0)))
-        body = b"".join((np.array([len(own)], np.int64).tobytes(), *(x.tobytes() for x in places), b"\n".join(strings)))
         keys.append(int(bucket[own[0]]))
-        out.append(squeeze(body))
+        out.append(squeeze(body_of(docs[w], place[own], tags[w], index, strings)))
     yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.binary())], ["bucket", "blob"])
 
 
+def body_of(doc: np.ndarray, start: np.ndarray, th: np.ndarray, string: np.ndarray, strings) -> bytes:
+    """The bytes of a blob: places (doc, start, th, number of the string), then the distinct strings."""
+    places = (np.diff(doc, prepend=0), start, th.astype(np.int32), np.diff(string.astype(np.int32), prepend=np.int32(0)))
+    return b"".join((np.array([len(doc)], np.int64).tobytes(), *(x.tobytes() for x in places), b"\n".join(strings)))
+
+
 class Bucket:
     """The super-k-mers of one bucket: distinct strings, and the places (doc, th, start, string) of each.
 
@@ -263,6 +269,7 @@ class Bucket:
             for c, x in zip(columns, (doc, th, start, ids[np.cumsum(index)]), strict=True):
                 c.append(x)
         self.doc, self.th, self.start, self.string = map(np.concatenate, columns)
+        self.strings = strings
         self.text = b" ".join(strings)
         self.words = Words(self.text, hashes=2)
         self.size = np.fromiter((s.count(b" ") + 1 for s in strings), np.int64, len(strings))
@@ -273,6 +280,18 @@ class Bucket:
         lead = np.flatnonzero(np.concatenate(([True], np.diff(self.string[order]) != 0)))
         self.least = order[lead]
 
+    def leads(self) -> np.ndarray:
+        """Whether each place is the earliest of its string, or as early."""
+        least = self.least[self.string]
+        return (self.doc == self.doc[least]) & (self.null == self.null[least]) & (self.start == self.start[least])
+
+    def thinned(self) -> bytes:
+        """A blob of the strings at their earliest places only, each row once."""
+        own = np.flatnonzero(self.leads())
+        _, once = np.unique(np.stack([self.string[own], self.doc[own], self.th[own]]), axis=1, return_index=True)
+        own = own[once]
+        return zstandard.ZstdCompressor(level=LEVEL).compress(body_of(self.doc[own], self.start[own], self.th[own], self.string[own], self.strings))
+
     def window_groups(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(string, offset, group) of every window of the strings; windows of equal words have one group, and no others have.
 
@@ -321,30 +340,54 @@ def spans_of(bucket: Bucket, flags: np.ndarray, string: np.ndarray, offset: np.n
     return [bucket.doc[place], bucket.th[place], bucket.start[place] + offset[head[run]], runs[run]]
 
 
-def reduce(packed: DataFrame, deal: Deal, of: Callable[[Bucket], list[list[np.ndarray]]], schema: str) -> DataFrame:
-    """``of`` applied to each bucket, one bucket at a time; it returns columns of bigints that ``schema`` names."""
+Rows = list[list[np.ndarray]]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def reduce(packed: DataFrame, deal: Deal, of: Callable[[Bucket], Rows], thin: Callable[[Bucket], Rows], schema: str) -> DataFrame:
+    """``of`` applied to each bucket, one bucket at a time; it returns columns of bigints that ``schema`` names.
+
+    Windows of hot buckets are strings by themselves, and one of them can have places in a large share of all documents. So those buckets are cut into
+    pieces by the tasks that packed them. ``thin`` returns what a piece alone can tell of its places, and only each string's earliest
+    place goes on from there: no task meets more places of a window than one piece has, or than there are pieces.
+    """
+    names = [x.split()[0] for x in schema.split(",")]
+    n = min(MOST_TASKS, max(partitions(packed.sparkSession), deal.buckets // 8))  # a task takes its buckets one by one, however many they are
+
+    def run(batches: Iterator[pa.RecordBatch], pieces: bool) -> Iterator[pa.RecordBatch]:
         key, held = None, []
+        fields = [*names, "bucket", "blob"] if pieces else names
 
         def out() -> Iterator[pa.RecordBatch]:
             if held:
-                for columns in of(Bucket(held)):
+                bucket, apart = Bucket(held), pieces and key[0] >= deal.buckets
+                for columns in (thin if apart else of)(bucket):
                     for k in range(0, len(columns[0]), 1 << 18):
-                        yield pa.RecordBatch.from_arrays([pa.array(c[k : k + (1 << 18)]) for c in columns], names)
+                        part = [pa.array(c[k : k + (1 << 18)]) for c in columns]
+                        none = [pa.nulls(len(part[0]), t) for t in (pa.int64(), pa.binary())] if pieces else []
+                        yield pa.RecordBatch.from_arrays([*part, *none], fields)
+                if apart:
+                    own = [pa.nulls(1, pa.int64())] * len(names)
+                    yield pa.RecordBatch.from_arrays([*own, pa.array([key[0]], pa.int64()), pa.array([bucket.thinned()], pa.binary())], fields)
                 held.clear()
 
         for b in batches:
-            for k, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if k != key:
+            for k, piece, blob in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
+                if (k, piece) != key:
                     yield from out()
-                key = k
+                key = (k, piece)
                 held.append(blob)
         yield from out()
 
-    names = [x.split()[0] for x in schema.split(",")]
-    n = min(MOST_TASKS, max(partitions(packed.sparkSession), deal.buckets // 8))  # a task takes its buckets one by one, however many they are
-    return packed.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+    def rounds(rows: DataFrame, pieces: bool, out: str) -> DataFrame:
+        return rows.repartition(n, "bucket", "piece").sortWithinPartitions("bucket", "piece").mapInArrow(lambda it: run(it, pieces), out)
+
+    whole = F.lit(0)
+    if not len(deal.hot):
+        return rounds(packed.select("bucket", whole.alias("piece"), "blob"), False, schema)
+    piece = F.when(F.col("bucket") >= deal.buckets, F.spark_partition_id() % max(PIECES, n // 8)).otherwise(whole)
+    first = checkpoint(rounds(packed.select("bucket", piece.alias("piece"), "blob"), True, f"{schema}, bucket bigint, blob binary"))
+    left = first.where("blob IS NOT NULL").select("bucket", whole.alias("piece"), "blob")
+    return first.where("blob IS NULL").select(*names).unionByName(rounds(left, False, schema))
 
 
 def text_bytes(docs: DataFrame) -> int:
