@@ -116,8 +116,9 @@ def class_leaks(docs: DataFrame, classes: DataFrame) -> DataFrame:
     small_sketch = small(sketch)
     found = None
     for c in cuts:
-        grams = docs.select("doc_id", windows(lowered(F.col("text")), F.lit(c.d_width), gram_hash).alias("d_all")).where(F.size("d_all") >= c.least)
-        hashes = grams.select("doc_id", F.size("d_all").alias("d_n"), F.explode(F.filter("d_all", lambda h: h <= F.lit(c.top))).alias("d_hash"))  # noqa: B023
+        found_in = lambda d: F.when(F.size(d) >= c.least, F.transform(F.filter(d, lambda h: h <= F.lit(c.top)), lambda h: F.struct(h.alias("d_hash"), F.size(d).alias("d_n"))))  # noqa: B023, E731
+        own = let(windows(lowered(F.col("text")), F.lit(c.d_width), gram_hash), found_in)
+        hashes = docs.select("doc_id", F.explode(own).alias("d_own")).select("doc_id", "d_own.d_hash", "d_own.d_n")
         hits = hashes.join(small_sketch.where(F.col("d_width") == c.d_width), "d_hash").where("d_n >= d_least").select("doc_id", "item_id")
         found = hits if found is None else found.unionAll(hits)
     if found is None:
