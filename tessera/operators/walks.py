@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators import books, graph, windows
@@ -57,3 +57,18 @@ def probe(book: DataFrame, keys: list) -> DataFrame:
 def probe_many(book: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows of all keys of a frame: a semi-join, whose side is broadcast if a count shows that it is small."""
     return book.join(small(keys.select("key").distinct()), "key", "left_semi")
+
+
+def mining_starts(lines: DataFrame, book: DataFrame, limit: int) -> DataFrame:
+    """(line, ply, node, reason): where an engine is to begin on each line (line, path): the part of the mining walk that plans.
+
+    A walk follows the line's positions. It needs the engine at the first one that the book (node, value) has no value for (``unknown``). It ends where the
+    line leaves the book while a value beyond ``limit`` says that the game is ``decided``; a line followed to its end is extended from there (``end``).
+    """
+    known = book.where("value IS NOT NULL").groupBy("node").agg(F.max("value").alias("value"))
+    x = lines.select("line", F.size("path").alias("n"), F.posexplode("path").alias("ply", "node")).join(known, "node", "left")
+    x = x.withColumn("beyond", F.lead("value").over(Window.partitionBy("line").orderBy("ply")))
+    last = F.col("ply") == F.col("n") - 1
+    left = ~last & F.col("beyond").isNull() & (F.abs("value") > limit)
+    x = x.withColumn("reason", F.when(F.col("value").isNull(), "unknown").when(left, "decided").when(last, "end")).where("reason IS NOT NULL")
+    return x.groupBy("line").agg(F.min_by(F.struct("ply", "node", "reason"), "ply").alias("s")).select("line", "s.*")

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
 from pyspark.sql import functions as F
 
 from tessera.functions import codec, sfen
 from tessera.functions.codec import little
-from tessera.operators import books, games, layout, positions, windows
+from tessera.operators import books, games, layout, positions, walks, windows
+from tessera.plans.catalog import EDGE, edges
 from tessera.plans.domain import CODE, FULL, MOVE, duck
 from tessera.plans.physical import scratch
 from tessera.plans.projections import sql
 from tessera.plans.registry import moves, query, table
+from tessera.sources import archives, html, records, sinks, training
 from tessera.sources import books as book_files
-from tessera.sources import html, records, sinks, training
 
 
 def text_files(lines, folder: str, by: str | None = None) -> str:
@@ -187,15 +191,42 @@ def csa_games(spark, sf_dir):
     )
 
 
-@query("""SELECT c_custkey AS game, '先手' || CAST(c_custkey AS VARCHAR) AS black, make_date(2024, 2, c_custkey % 28 + 1) AS played, '7g7f 3c3d 8h2b+ 3a2b B*4e' AS moves, CASE c_custkey % 2 WHEN 0 THEN 1 ELSE 2 END AS winner FROM customer WHERE c_custkey <= 30""")
+@query("""SELECT c_custkey AS game, '先手' || CAST(c_custkey AS VARCHAR) AS black, make_date(2024, 2, c_custkey % 28 + 1) AS played, '7g7f 3c3d 8h2b+ 3a2b B*4e' AS moves, CASE c_custkey % 2 WHEN 0 THEN CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE 1 END ELSE 2 END AS winner, c_custkey % 3 = 0 AS handicap FROM customer WHERE c_custkey <= 30""")
 def kif_games(spark, sf_dir):
     """KIF records in UTF-8; the moves of each are read from its lines."""
     x = table(spark, sf_dir, "customer").where("c_custkey <= 30").select(F.col("c_custkey").alias("game"))
     body = "手合割：平手\n手数----指手\n   1 ７六歩(77)\n   2 ３四歩(33)   ( 0:01/)\n*note\n   3 ２二角成(88)\n   4 同　銀(31)\n   5 ４五角打\n   6 "
     text = F.concat(F.lit("開始日時：2024/02/"), F.lpad((F.col("game") % 28 + 1).cast("string"), 2, "0"), F.lit("\n先手："), F.concat(F.lit("先手"), F.col("game").cast("string")), F.lit("\n後手：x\n" + body), F.expr("CASE WHEN game % 2 = 0 THEN '反則勝ち' ELSE '千日手' END"))
+    text = F.when(F.col("game") % 3 == 0, F.replace(text, F.lit("手合割：平手"), F.lit("手合割：二枚落ち\u3000"))).otherwise(text)
     place = text_files(x.select("game", F.lit(0).alias("at"), text.alias("text")), scratch(spark), "game")
-    found = records.kif_games(spark, f"{place}/*/*.txt")
-    return found.select(F.regexp_extract("path", r"game=(\d+)", 1).cast("bigint").alias("game"), "black", "played", F.array_join("moves", " ").alias("moves"), "winner")
+    found = records.kif_games(spark, f"{place}/*/*.txt").withColumn("handicap", F.col("start") == "lnsgkgsnl/9/ppppppppp/9/9/9/PPPPPPPPP/1B5R1/LNSGKGSNL w - 1")
+    return found.select("handicap", F.regexp_extract("path", r"game=(\d+)", 1).cast("bigint").alias("game"), "black", "played", F.array_join("moves", " ").alias("moves"), "winner")
+
+
+NOTES = """CASE WHEN event_id % 3 = 0 THEN CASE WHEN event_id % 2 = 0 THEN '+7776FU' ELSE '-3334FU' END || CASE WHEN event_id % 9 = 0 THEN ' ** 7' ELSE '' END
+WHEN event_id % 5 = 0 THEN chr(39) || '** ' || CAST(event_id AS VARCHAR) || ' x' WHEN event_id % 7 = 0 THEN chr(39) || '評価値 -' || CAST(event_id AS VARCHAR) ELSE 'T1' END"""
+
+
+@query(f"""WITH l AS (SELECT user_id AS path, event_id AS pos, {NOTES} AS line FROM events),
+x AS (SELECT path, pos, CASE WHEN line LIKE '+%' THEN 0 WHEN line LIKE '-%' THEN 1 END AS side, TRY_CAST(nullif(regexp_extract(line, '(?:[*][*]|評価値) *(-?[0-9]+)', 1), '') AS INT) AS v FROM l),
+g AS (SELECT *, coalesce(sum(CAST(side IS NOT NULL AS INT)) OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part FROM x),
+c AS (SELECT path, pos, side, last_value(v IGNORE NULLS) OVER (PARTITION BY path, part ORDER BY pos) AS value FROM g) SELECT path, pos, side, value FROM c WHERE side IS NOT NULL AND value IS NOT NULL""")
+def csa_evals(spark, sf_dir):
+    """An evaluation waits for the next move."""
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("path"), F.col("event_id").alias("at"), F.expr(NOTES.replace("AS VARCHAR", "AS STRING")).alias("line"))
+    return records.csa_evals(rows).withColumnRenamed("at", "pos")
+
+
+KIF_NOTES = """CASE WHEN event_id % 3 = 0 THEN '  ' || CAST(event_id % 100 AS VARCHAR) || ' ７六歩(77)' WHEN event_id % 2 = 0 THEN '**解析 評価値 ' || CAST(event_id AS VARCHAR) ELSE '*x' END"""
+
+
+@query(f"""WITH l AS (SELECT user_id AS path, event_id AS pos, {KIF_NOTES} AS line FROM events),
+x AS (SELECT path, pos, TRY_CAST(nullif(regexp_extract(line, '^ +([0-9]+) ', 1), '') AS INT) AS n, TRY_CAST(nullif(regexp_extract(line, '評価値 ([0-9]+)', 1), '') AS INT) AS value FROM l),
+c AS (SELECT path, pos, last_value(CAST(1 - n % 2 AS INT) IGNORE NULLS) OVER (PARTITION BY path ORDER BY pos) AS side, value FROM x) SELECT path, pos, side, value FROM c WHERE side IS NOT NULL AND value IS NOT NULL""")
+def kif_evals(spark, sf_dir):
+    """An evaluation belongs to the move before it."""
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("path"), F.col("event_id").alias("at"), F.expr(KIF_NOTES.replace("AS VARCHAR", "AS STRING")).alias("line"))
+    return records.kif_evals(rows).withColumnRenamed("at", "pos")
 
 
 @query("SELECT n_nationkey, 'é ü 先手 ' || n_name AS text FROM nation")
@@ -321,3 +352,48 @@ def header_filter(spark, sf_dir):
     place = text_files(x.select("game", F.lit(0).alias("at"), text.alias("text")), scratch(spark), "game")
     kept = records.csa_games(spark, place).where("black_rate >= 2000").where(games.names_match([], ["^p[12]$"], F.col("black"), F.col("white")))
     return kept.select(F.regexp_extract("path", r"game=(\d+)", 1).cast("bigint").alias("game"))
+
+
+# ---- around the engine ----
+
+
+@query("""SELECT n_nationkey AS nation, 'g/' || CAST(i AS VARCHAR) || '.csa' AS member, n_name || CAST(i AS VARCHAR) AS text FROM nation, (SELECT unnest([0, 1, 2]) AS i) WHERE n_nationkey % 5 < 3""")
+def archive_members(spark, sf_dir):
+    """Archives of a range of years, by their names, and the files in them."""
+    place = scratch(spark)
+    for r in table(spark, sf_dir, "nation").select("n_nationkey", "n_name").toLocalIterator():  # 25 rows
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+            for i in range(3):
+                z.writestr(f"g/{i}.csa", f"{r.n_name}{i}")
+        sinks.write_file(spark, f"{place}/wdoor{2015 + r.n_nationkey % 5}-{r.n_nationkey}.zip", [held.getvalue()])
+    found = archives.members(spark, place, (2015, 2017))
+    return found.select(F.regexp_extract("path", r"-(\d+)\.zip", 1).cast("int").alias("nation"), "member", records.decoded("content").alias("text"))
+
+
+@query("""SELECT c_custkey AS url, c_nationkey AS size FROM customer WHERE (c_custkey, c_nationkey) NOT IN (SELECT s_suppkey * 3, s_nationkey FROM supplier)""")
+def changed_files(spark, sf_dir):
+    """What an incremental download fetches; the transfer itself is outside of the engine."""
+    listing = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("url"), F.col("c_nationkey").alias("size"))
+    return archives.changed(listing, table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 3).alias("url"), F.col("s_nationkey").alias("size")))
+
+
+@query("SELECT n_nationkey, 'e' || CAST(n_nationkey AS VARCHAR) AS engine, CAST(n_regionkey AS INT) AS multipv FROM nation")
+def settings_files(spark, sf_dir):
+    """A settings file that names every nation, read on the driver as settings are."""
+    rows = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey").collect()  # 25 rows
+    items = "\n".join(f"""  {{id: {r.n_nationkey}, /* a // note */ 'engine': 'e{r.n_nationkey}', "multipv": {r.n_regionkey},}}, // of {r.n_nationkey}""" for r in rows)
+    sinks.write_file(spark, place := scratch(spark) + ".json5", [f"// settings\n{{engines: [\n{items}\n],}}\n".encode()])
+    found = records.settings(spark.read.text(place, wholetext=True).first().value)
+    return spark.createDataFrame([(e["id"], e["engine"], e["multipv"]) for e in found["engines"]], "n_nationkey int, engine string, multipv int")
+
+
+@query(f"""WITH RECURSIVE {EDGE}, b AS (SELECT src AS node, max(value) - 50000 AS value FROM e WHERE src % 4 > 0 GROUP BY src), l AS (SELECT DISTINCT o_custkey AS line, o_custkey AS node, 0 AS ply FROM orders
+UNION ALL SELECT line, node * 3 % 2000 + 1, ply + 1 FROM l WHERE ply < 5), x AS (SELECT l.*, b.value, lead(b.value) OVER (PARTITION BY line ORDER BY ply) AS beyond FROM l LEFT JOIN b ON b.node = l.node),
+r AS (SELECT *, CASE WHEN value IS NULL THEN 'unknown' WHEN ply < 5 AND beyond IS NULL AND abs(value) > 20000 THEN 'decided' WHEN ply = 5 THEN 'end' END AS reason FROM x)
+SELECT line, CAST(ply AS INT) AS ply, node, reason FROM r WHERE reason IS NOT NULL QUALIFY row_number() OVER (PARTITION BY line ORDER BY ply) = 1""")
+def mining_starts(spark, sf_dir):
+    path = F.expr("aggregate(sequence(1, 5), array(o_custkey), (a, i) -> array_append(a, element_at(a, -1) * 3 % 2000 + 1))")
+    lines = table(spark, sf_dir, "orders").select("o_custkey").distinct().select(F.col("o_custkey").alias("line"), path.alias("path"))
+    book = edges(spark, sf_dir).where("src % 4 > 0").select(F.col("src").alias("node"), (F.col("value") - 50000).alias("value"))
+    return walks.mining_starts(lines, book, 20000)

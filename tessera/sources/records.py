@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 import pandas as pd
@@ -9,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.windows import carry_forward
+from tessera.functions.sfen import STARTPOS
+from tessera.operators.windows import carry_forward, pending
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
@@ -40,6 +42,45 @@ def csa_games(spark: SparkSession, path: str) -> DataFrame:
     return x.withColumn("winner", winner)
 
 
+def comment_value(line: Column) -> Column:
+    """The evaluation that a comment names: after its word, ``score cp`` or ``**``, in this order; null without one."""
+    one = lambda p: F.nullif(F.regexp_extract(line, p, 1), F.lit("")).try_cast("int")
+    return F.coalesce(one(r"評価値\s*([-+]?\d+)"), one(r"(?i)score\s+cp\s+([-+]?\d+)"), one(r"\*\*\s*([-+]?\d+)"))
+
+
+def csa_evals(rows: DataFrame) -> DataFrame:
+    """(path, at, side, value) of CSA lines (path, at, line): a comment's evaluation belongs to the next move, 0 Black or 1 White.
+
+    A value on the move's own line goes before one that waits, and a move uses up what waits.
+    """
+    side = F.when(F.col("line").rlike(r"^\+\d{4}[A-Z]{2}"), 0).when(F.col("line").rlike(r"^-\d{4}[A-Z]{2}"), 1)
+    x = rows.withColumns({"side": side, "value": comment_value(F.col("line"))})
+    return pending(x, ["path"], ["at"], F.col("side").isNotNull(), "value").where("value IS NOT NULL").select("path", "at", "side", "value")
+
+
+def kif_evals(rows: DataFrame) -> DataFrame:
+    """(path, at, side, value) of KIF lines (path, at, line): an evaluation belongs to the move before it, by the parity of that move's number."""
+    number = F.nullif(F.regexp_extract("line", r"^\s*(\d+)\s+\S", 1), F.lit("")).try_cast("int")
+    x = rows.withColumns({"side": F.when(number % 2 == 1, 0).when(number % 2 == 0, 1), "value": comment_value(F.col("line"))})
+    return carry_forward(x, ["path"], ["at"], ["side"]).where("value IS NOT NULL AND side IS NOT NULL").select("path", "at", "side", "value")
+
+
+def settings(text: str) -> dict:
+    """A settings file: JSON with comments, trailing commas, names without quotes and strings in single quotes."""
+    quoted = r'"(?:[^"\\]|\\.)*"' + r"|'(?:[^'\\]|\\.)*'"
+
+    def one(m: re.Match) -> str:
+        token = m[0]
+        if token[0] == "'":
+            return json.dumps(token[1:-1].replace("\\'", "'"))
+        if token[0] == ",":
+            return ""
+        return token if token[0] == '"' else json.dumps(token)
+
+    bare = re.sub(rf"{quoted}|//[^\n]*|/\*.*?\*/", lambda m: " " if m[0][0] == "/" else m[0], text, flags=re.S)
+    return json.loads(re.sub(rf"{quoted}|,(?=\s*[}}\]])|[A-Za-z_$][\w$]*(?=\s*:)", one, bare))
+
+
 def parameters(spark: SparkSession, path: str) -> DataFrame:
     """(name, type, v, least, most, step, delta, comment, not_used) of parameter files; lines of fewer fields are left out."""
     x = lines(spark, path)
@@ -109,6 +150,11 @@ def decoded(data: pd.Series) -> pd.Series:
 # The signs of files, ranks, pieces and ends of KIF records.
 KIF_FILES, KIF_RANKS = "１２３４５６７８９", "一二三四五六七八九"
 KIF_PIECES = {"歩": "P", "香": "L", "桂": "N", "銀": "S", "金": "G", "角": "B", "飛": "R"}
+#: The first two ranks of the starts with a handicap, by name; the rest is as in an even game, and White moves first.
+KIF_STARTS = {
+    "香落ち": "lnsgkgsn1/1r5b1", "右香落ち": "1nsgkgsnl/1r5b1", "角落ち": "lnsgkgsnl/1r7", "飛車落ち": "lnsgkgsnl/7b1", "飛香落ち": "lnsgkgsn1/7b1", "二枚落ち": "lnsgkgsnl/9",
+    "四枚落ち": "1nsgkgsn1/9", "六枚落ち": "2sgkgs2/9", "八枚落ち": "3gkg3/9", "十枚落ち": "4k4/9",
+}
 KIF_MOVE = re.compile(r"^\s*\d+\s+(?:([１-９])([一二三四五六七八九])|同[\s　]*)([成と馬龍竜]?[歩香桂銀金角飛玉王杏圭全と馬龍竜]?)(成|打)?(?:\((\d)(\d)\))?")
 
 
@@ -137,21 +183,26 @@ def kif_moves_of(text: pd.Series) -> pd.Series:
 
 
 def kif_games(spark: SparkSession, path: str) -> DataFrame:
-    """(path, black, white, played, moves, result, winner) of KIF files in any of the encodings.
+    """(path, black, white, played, start, moves, result, winner) of KIF files in any of the encodings.
 
-    The winner follows from the last line's word and from whose turn it is: 0 Black, 1 White, 2 draw, null unknown.
+    The winner follows from the last line's word and from whose turn it is: 0 Black, 1 White, 2 draw, null unknown. ``start`` is the start position, of a game
+    with a handicap too; it is null for a handicap of another name.
     """
     x = spark.read.format("binaryFile").load(path).select("path", decoded("content").alias("t"))
     one = lambda pattern: F.nullif(F.trim(F.regexp_extract("t", pattern, 1)), F.lit(""))
     x = x.select(
         "path", one(r"(?m)^(?:先手|下手)[：:]([^\r\n]*)").alias("black"), one(r"(?m)^(?:後手|上手)[：:]([^\r\n]*)").alias("white"),
         first_date(F.coalesce(one(r"(?m)^開始日時[：:]([^\r\n]*)"), F.lit(""))).alias("played"), kif_moves_of("t").alias("moves"),
+        F.coalesce(one(r"(?m)^手合割[：:]([^\r\n]*)"), F.lit("平手")).alias("handicap"),
         one(r"(?m)^\s*\d+\s+(投了|中断|千日手|持将棋|詰み|切れ負け|反則負け|反則勝ち|入玉勝ち)").alias("result"),
     )
-    turn = F.size("moves") % 2
+    boards = F.create_map(*(F.lit(v) for k, b in KIF_STARTS.items() for v in (k, f"{b}/ppppppppp/9/9/9/PPPPPPPPP/1B5R1/LNSGKGSNL w - 1")))
+    even = F.col("handicap").startswith("平手")
+    x = x.withColumn("start", F.when(even, STARTPOS).otherwise(F.element_at(boards, F.trim(F.replace("handicap", F.lit("\u3000"), F.lit(" "))))))
+    turn = (F.size("moves") + F.when(even, 0).otherwise(1)) % 2
     lost = F.col("result").isin("投了", "詰み", "切れ負け", "反則負け")
     winner = F.when(lost, 1 - turn).when(F.col("result").isin("入玉勝ち", "反則勝ち"), turn).when(F.col("result").isin("千日手", "持将棋"), 2)
-    return x.withColumn("winner", winner)
+    return x.withColumn("winner", winner).drop("handicap")
 
 
 def size_bytes(text: Column) -> Column:
