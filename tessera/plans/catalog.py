@@ -58,7 +58,7 @@ def best_move(spark, sf_dir):
 
 @query(f"""WITH {sql("book_move")}, k AS (SELECT key, move, seq, value / 10000.0 AS score, row_number() OVER (PARTITION BY key ORDER BY value DESC, seq, move) AS rank FROM book_move),
 e AS (SELECT *, exp(score - max(score) OVER (PARTITION BY key)) AS e FROM k WHERE rank <= 3)
-SELECT key, move, seq, CAST(rank AS INT) AS rank, round(e / sum(e) OVER (PARTITION BY key), 6) AS prob, CAST(floor(e / sum(e) OVER (PARTITION BY key) * 65535) AS INT) AS u16 FROM e""")
+SELECT key, move, seq, CAST(rank AS INT) AS rank, round(e / sum(e) OVER (PARTITION BY key), 6) AS prob, CAST(floor(round(e / sum(e) OVER (PARTITION BY key), 9) * 65535) AS INT) AS u16 FROM e""")
 def topk_softmax(spark, sf_dir):
     scored = moves(spark, sf_dir).select("key", "move", "seq", (F.col("value") / 10000.0).alias("score"))
     return windows.top_softmax(scored, "key", "score", ["seq", "move"], 3).select("key", "move", "seq", "rank", F.round("prob", 6).alias("prob"), "u16")

@@ -176,7 +176,7 @@ def book_levels(spark, sf_dir):
 # ---- text records ----
 
 
-@query("""SELECT c_custkey AS game, 'p' || CAST(c_custkey % 7 AS VARCHAR) AS black, CASE WHEN c_custkey % 5 > 0 THEN 'q é' END AS white, CASE WHEN c_custkey % 2 = 0 THEN 1000.5 + c_custkey END AS black_rate, CAST(c_custkey % 4 AS INT) AS plies,
+@query("""SELECT c_custkey AS game, 'p' || CAST(c_custkey % 7 AS VARCHAR) AS black, CASE WHEN c_custkey % 5 > 0 THEN 'q é' END AS white, CAST(CASE WHEN c_custkey % 2 = 0 THEN 1000.5 + c_custkey END AS DOUBLE) AS black_rate, CAST(c_custkey % 4 AS INT) AS plies,
 CASE c_custkey % 3 WHEN 0 THEN CASE WHEN c_custkey % 4 % 2 = 0 THEN 1 ELSE 0 END WHEN 1 THEN 2 ELSE NULL END AS winner FROM customer WHERE c_custkey <= 40""")
 def csa_games(spark, sf_dir):
     """Records of games, one a file, of which only the columns asked for are parsed."""
