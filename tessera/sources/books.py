@@ -5,13 +5,16 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import codec
+from tessera.functions.codec import little
 from tessera.functions.sfen import normal_move, trim_ply
 from tessera.operators.books import saturated
+from tessera.sources.training import read_records
 
 # The headers and records of the formats.
 DB_HEADER = "#YANEURAOU-DB2016 1.00"
@@ -59,35 +62,54 @@ def write_db(moves: DataFrame, path: str) -> None:
 
 
 def read_ybb(spark: SparkSession, path: str) -> DataFrame:
-    """(packed, ply, seq, move, value, depth) of binary books; magic, flags, order of the keys and offsets are checked."""
+    """(packed, ply, seq, move, value, depth) of binary books; magic, flags, order of the keys and offsets are checked.
+
+    A file is read by one task; its records are taken as arrays, some at a time, and moves are named by a built-in expression.
+    """
 
     def parse(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for data in part["content"]:
-                rows = list(decode_ybb(bytes(data)))
-                yield pd.DataFrame(rows, columns=["packed", "ply", "seq", "move", "value", "depth"])
+                yield from decode_ybb(bytes(data))
 
     files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInPandas(parse, "packed binary, ply int, seq int, move string, value int, depth int")
+    rows = files.mapInPandas(parse, "packed binary, ply int, seq int, move16 int, value int, depth int")
+    return rows.select("packed", "ply", "seq", codec.usi_of(F.col("move16")).alias("move"), "value", "depth")
 
 
-def decode_ybb(data: bytes) -> Iterator[tuple]:
+def decode_ybb(data: bytes, records_at_once: int = 1 << 16) -> Iterator[pd.DataFrame]:
     magic, records, flags = YBB_HEADER.unpack_from(data, 0)
     if magic != YBB_MAGIC or flags & ~YBB_DEPTH_FLAG:
         raise ValueError("no binary book, or unknown flags")
-    move = YBB_MOVE_DEPTH if flags & YBB_DEPTH_FLAG else YBB_MOVE
+    fields = [("move16", "<u2"), ("value", "<i2"), ("depth", "<u2")][: 3 if flags & YBB_DEPTH_FLAG else 2]
+    move = np.dtype(fields)
     heap = YBB_HEADER.size + records * YBB_INDEX.size
-    last = b""
-    for k in range(records):
-        packed, offset, ply, n = YBB_INDEX.unpack_from(data, YBB_HEADER.size + k * YBB_INDEX.size)
-        if packed <= last and k:
-            raise ValueError("positions are not in rising order")
-        last = packed
-        if heap + offset + n * move.size > len(data):
-            raise ValueError("moves beyond the end of the book")
-        for j in range(n):
-            found = move.unpack_from(data, heap + offset + j * move.size)
-            yield packed, ply, j, codec.usi(found[0]), found[1], found[2] if len(found) > 2 else 0
+    if heap > len(data):
+        raise ValueError("index beyond the end of the book")
+    index = np.frombuffer(data, [("packed", "S32"), ("offset", "<u8"), ("ply", "<u2"), ("n", "<u2")], records, YBB_HEADER.size)
+    keys = np.frombuffer(data, np.uint8, records * YBB_INDEX.size, YBB_HEADER.size).reshape(records, YBB_INDEX.size)[:, :32]
+    words = np.ascontiguousarray(keys).view(">u8")
+    differ = words[1:] != words[:-1]
+    first = differ.argmax(axis=1)
+    at = np.arange(len(first))
+    if not (differ.any(axis=1) & (words[1:][at, first] > words[:-1][at, first])).all():
+        raise ValueError("positions are not in rising order")
+    offset, n = index["offset"].astype(np.int64), index["n"].astype(np.int64)
+    if (heap + offset + n * move.itemsize > len(data)).any() or (offset < 0).any():
+        raise ValueError("moves beyond the end of the book")
+    raw = np.frombuffer(data, np.uint8)
+    for k in range(0, records, records_at_once):
+        own = slice(k, k + records_at_once)
+        count = n[own]
+        of = np.repeat(np.arange(len(count)), count)
+        seq = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+        begin = heap + offset[own][of] + seq * move.itemsize
+        found = raw[begin[:, None] + np.arange(move.itemsize)].copy().view(move)[:, 0] if len(of) else np.zeros(0, move)
+        packed = [bytes(x) for x in keys[own]]
+        yield pd.DataFrame({
+            "packed": [packed[i] for i in of.tolist()], "ply": index["ply"][own][of].astype(np.int32), "seq": seq.astype(np.int32), "move16": found["move16"].astype(np.int32),
+            "value": found["value"].astype(np.int32), "depth": found["depth"].astype(np.int32) if "depth" in move.names else 0,
+        })
 
 
 def encode_ybb(positions: list[tuple[bytes, int, list[tuple[str, int, int]]]], depths: bool = True) -> bytes:
@@ -105,15 +127,14 @@ def encode_ybb(positions: list[tuple[bytes, int, list[tuple[str, int, int]]]], d
     return YBB_HEADER.pack(YBB_MAGIC, len(index), YBB_DEPTH_FLAG * depths) + b"".join(index) + bytes(heap)
 
 
-def apery_record(record: bytes) -> tuple[str, int, int, int]:
-    key, move, count, score = APERY.unpack(record)
-    return str(key), move, count, score
-
-
 def read_apery(spark: SparkSession, path: str) -> DataFrame:
     """(key, move16, count, score) of 16-byte records; key is the unsigned hash. Files split among tasks at records."""
-    rows = spark.sparkContext.binaryRecords(path, APERY.size).map(apery_record)
-    return spark.createDataFrame(rows, "key string, move16 int, count int, score int").withColumn("key", F.col("key").cast("decimal(20,0)"))
+    r = F.col("record")
+    half = lambda at: little(r, at, 4).cast("decimal(20,0)")
+    key = half(0) + half(4) * F.lit(1 << 32).cast("decimal(20,0)")
+    return read_records(spark, path, APERY.size).select(
+        key.cast("decimal(20,0)").alias("key"), little(r, 8, 2).alias("move16"), little(r, 10, 2).alias("count"), little(r, 12, 4, True).alias("score")
+    )
 
 
 def apery_rows(moves: DataFrame) -> DataFrame:

@@ -5,10 +5,10 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions import codec, rules, sfen
+from tessera.functions import codec, rules, scalars, sfen
 from tessera.operators import books, games, layout, lookups, positions, windows
 from tessera.sources import books as book_files
-from tessera.sources import html, records, training
+from tessera.sources import archives, html, records, sinks, training
 
 START = sfen.STARTPOS
 MID = "lnsgkgsnl/1r5b1/p1ppppppp/1p7/9/9/PPPPPP3/1B5R1/LNSGKGSNL b 2Pp 7"
@@ -113,7 +113,7 @@ def test_ybb_book(spark, tmp_path):
     with pytest.raises(ValueError):
         book_files.encode_ybb([(b"a" * 32, 1, []), (b"a" * 32, 1, [])])
     with pytest.raises(ValueError):
-        list(book_files.decode_ybb(data[:40]  + b"\0" * 100))
+        list(book_files.decode_ybb(data[:40] + b"\0" * 100))
 
 
 def test_apery(spark, tmp_path):
@@ -282,3 +282,67 @@ def test_sizes(spark):
     assert [value(spark, records.size_bytes, s=x) for x in ("512M", "1g", "10", "2KiB", "x")] == [512 << 20, 1 << 30, 10, 2048, None]
     row = spark.range(1).select(records.option_line(F.lit("option name Hash type spin default 16 min 1 max 1024")).alias("o")).first().o
     assert (row.name, row.type, row.default, row.least, row.most) == ("Hash", "spin", "16", "1", "1024")
+
+
+def test_ybb_checks():
+    moves = [("7g7f", 10, 3)]
+    keys = sorted(bytes([k % 7]) + bytes([k]) + b"k" * 30 for k in range(40))
+    data = book_files.encode_ybb([(k, 1, moves * (i % 4)) for i, k in enumerate(keys)], depths=False)
+    found = [r for part in book_files.decode_ybb(data, 7) for r in part.itertuples(index=False)]
+    assert [(r.packed, r.seq, r.value, r.depth) for r in found] == [(k, j, 10, 0) for i, k in enumerate(keys) for j in range(i % 4)]
+    swapped = bytearray(data)
+    a, b = (slice(32 + 44 * k, 32 + 44 * k + 32) for k in (3, 4))
+    swapped[a], swapped[b] = data[b], data[a]
+    for broken in (bytes(swapped), data[:-1], data[:200], b"x" + data[1:], data[:24] + b"\2" + data[25:]):
+        with pytest.raises(ValueError):
+            list(book_files.decode_ybb(broken))
+
+
+def test_sinks(spark, tmp_path):
+    sinks.write_file(spark, str(tmp_path / "f"), [b"ab", b"", b"c" * 3_000_000])
+    assert (tmp_path / "f").read_bytes() == b"ab" + b"c" * 3_000_000
+    with pytest.raises(FileExistsError):
+        sinks.write_file(spark, str(tmp_path / "f"), [b"x"])
+    sinks.write_file(spark, str(tmp_path / "f"), [b"x"], force=True)
+    assert (tmp_path / "f").read_bytes() == b"x" and not (tmp_path / "f.tmp").exists()
+    rows = spark.createDataFrame([(b"k" * 32, 1, 0, "7g7f", 1, 1), (b"k" * 32, 2, 0, "2g2f", 1, 1)], "packed binary, ply int, seq int, move string, value int, depth int")
+    with pytest.raises(ValueError):
+        sinks.write_ybb(rows, str(tmp_path / "b.ybb"))
+    assert [spark.range(1).select(sinks.bits(F.lit(v), n)).first()[0] for v, n in ((-2, 2), (258, 4), (65535, 2))] == [b"\xfe\xff", b"\2\1\0\0", b"\xff\xff"]
+
+
+def test_scalars(spark):
+    one = lambda c: spark.range(1).select(c).first()[0]
+    assert one(scalars.value_score(F.lit(0.5), 600.0)) == 0 and one(scalars.value_score(F.lit(1.0), 600.0)) == 30000 and one(scalars.value_score(F.lit(0.0), 600.0)) == -30000
+    assert one(scalars.scaled_nodes(F.lit(3), F.lit(0.5))) == 2 and one(scalars.scaled_nodes(F.lit(3), F.lit(0.0))) == 1
+    assert [one(scalars.leading_number(F.lit(t), 5)) for t in ("", "x", "-12a", "+7", "0012")] == [5, 0, -12, 7, 12]
+    assert one(scalars.replace_names(F.lit("foo_1 foo_10 xfoo_1 foo_1"), {"foo_1": "9"})) == "9 foo_10 xfoo_1 9" and one(scalars.replace_names(F.lit("a"), {})) == "a"
+    assert one(scalars.safe_part(F.lit("a<b>:c\x7f"))) == "a_b__c_" and one(scalars.safe_part(F.lit(".."))) == ".."
+    assert [str(one(scalars.bound_day(F.lit(t), True))) for t in ("2024", "2024/2/9", "2024-02-30", "x")] == ["2024-12-31", "2024-02-09", "None", "None"]
+    assert one(scalars.decay_rate(F.lit(0.01), F.lit(0.0001), F.lit(2))) == pytest.approx(0.1)
+
+
+def test_settings():
+    text = """// a
+    {engines: [{path: 'a//b', "n": 1, /* x, */ 'it\\'s': true,},], limit: null, "url": "http://x/{a: 1,}",}"""
+    assert records.settings(text) == {"engines": [{"path": "a//b", "n": 1, "it's": True}], "limit": None, "url": "http://x/{a: 1,}"}
+
+
+def test_archives(spark, tmp_path):
+    import zipfile
+
+    for name, member in (("wdoor2019.zip", "a/b.csa"), ("other.zip", "c.csa")):
+        with zipfile.ZipFile(tmp_path / name, "w") as z:
+            z.writestr(member, name)
+    found = {(r.member, bytes(r.content).decode()) for r in archives.members(spark, str(tmp_path)).collect()}
+    assert found == {("a/b.csa", "wdoor2019.zip"), ("c.csa", "other.zip")}
+    assert [r.member for r in archives.members(spark, str(tmp_path), (2019, 2019)).collect()] == ["a/b.csa"]
+    assert [archives.safe_member(x) for x in ("a/b", "../a", "/a", "a/../../b", "C:/x", "a..b")] == [True, False, False, False, False, True]
+
+
+def test_broadcast_bound(spark):
+    from tessera.plans import physical
+
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    wide = spark.range(100).selectExpr("id", "repeat('x', 1000) AS t")
+    assert hinted(physical.small(wide)) and not hinted(physical.small(wide, rows=50)) and not hinted(physical.small(wide, most=50_000))
