@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.plans.physical import checkpoint, shared_folder, small  # noqa: F401  (small is for the operators)
+
 #: The characters that separate words: the space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
-#: A side of a join is broadcast only if its rows and their bytes have been counted and are no more than these.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 32 << 20
-
-
 def words(text: Column) -> Column:
     """The words of a text as an array; a null or blank text has none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
@@ -43,27 +38,6 @@ def shingles(tokens: Column, width: int, of) -> Column:
     )
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder, made from the session's ``spark.checkpoint.dir``.
-
-    Only in a session on one machine, as in tests, may that be unset: then a temporary folder takes its place. On a cluster
-    executors don't share such a folder, so there it is an error.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-        if not shared and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints-"))
-    return sc.getCheckpointDir()
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """``df`` cut from its lineage by files in the shared checkpoint folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder as compressed Parquet and read again: for wide rows, of which later reads may need few columns.
 
@@ -85,29 +59,6 @@ def set_aside(docs: DataFrame, *needed: str) -> DataFrame:
     return docs.toDF(*(c if c in needed else f"k{k}" for k, c in enumerate(docs.columns)))
 
 
-def row_bytes(df: DataFrame) -> Column:
-    """About how many bytes a row takes: 8 for a number, its bytes for a string or binary, its JSON's for a nested column."""
-    out = F.lit(16)
-    for f in df.schema.fields:
-        kind = f.dataType.typeName()
-        if kind in ("string", "binary"):
-            out = out + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 8
-        elif kind in ("array", "struct", "map"):
-            out = out + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0)) + 16
-        else:
-            out = out + 8
-    return out
-
-
-def small(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` rows and ``most`` bytes by count, else unmarked.
-
-    Give a checkpointed or otherwise cheap frame, as the count runs its plan.
-    """
-    t = df.limit(rows + 1).select(row_bytes(df).cast("bigint").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
-    return F.broadcast(df) if t.n <= rows and (t.b or 0) <= most else df
-
-
 def spread_join(rows: DataFrame, side: DataFrame, on: str, weight: str, total: int) -> DataFrame:
     """``rows`` joined with ``side`` on the column ``on`` of both, where a value of ``on`` can stand in a large share of ``rows``.
 
