@@ -15,10 +15,15 @@ from tessera.operators.windows import carry_forward, pending
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(path, at, line): lines without BOM, line ends and outer blanks, numbered per file; empty ones are left out."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    x = whole.select("path", F.posexplode(F.split("value", "\r?\n")).alias("at", "line"))
-    return x.withColumn("line", F.trim(F.regexp_replace("line", "[﻿\r]", ""))).where("line <> ''")
+    """(path, at, line): lines without BOM, line ends and outer blanks; empty ones are left out.
+
+    Files split among tasks. ``at`` orders a file's lines: the block of the file that they were read from, then their number in it.
+    """
+    x = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("at"),
+        F.trim(F.regexp_replace("value", "[\ufeff\r]", "")).alias("line"),
+    )
+    return x.where("line <> ''")
 
 
 def csa_games(spark: SparkSession, path: str) -> DataFrame:
