@@ -5,7 +5,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions import codec, rules, scalars, sfen
+from tessera.functions import codec, register, rules, scalars, sfen
 from tessera.operators import books, games, layout, lookups, positions, windows
 from tessera.sources import books as book_files
 from tessera.sources import archives, html, records, sinks, training
@@ -346,3 +346,12 @@ def test_broadcast_bound(spark):
     hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     wide = spark.range(100).selectExpr("id", "repeat('x', 1000) AS t")
     assert hinted(physical.small(wide)) and not hinted(physical.small(wide, rows=50)) and not hinted(physical.small(wide, most=50_000))
+
+
+def test_registered(spark):
+    register.register(spark)
+    row = spark.sql(f"""SELECT flip_move('7g7f') AS a, flip_move('P*2c') AS b, flip_move('resign') AS c, trim_ply('{START}') AS d, held_eval(-40000) AS e,
+    unpack_sfen(pack_sfen('{MID}'), 7) AS f, size(successors('{START}')) AS g, size(replay('startpos moves 7g7f 3c3d')) AS h""").first()
+    assert tuple(row) == ("3c3d", "P*8g", "resign", START[:-2], -32767, MID, 30, 3)
+    found = spark.sql("SELECT p.ply, p.prefix FROM (SELECT array('7g7f', '3c3d') AS m) t, LATERAL prefixes(t.m) p ORDER BY p.ply").collect()
+    assert [(r.ply, list(r.prefix)) for r in found] == [(0, []), (1, ["7g7f"]), (2, ["7g7f", "3c3d"])]
