@@ -26,12 +26,15 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return x.where("line <> ''")
 
 
-def csa_games(spark: SparkSession, path: str) -> DataFrame:
-    """(path, black, white, black_rate, white_rate, moves, result, winner) of CSA files.
+def csa_games(spark: SparkSession, path: str, any_encoding: bool = False) -> DataFrame:
+    """(path, black, white, black_rate, white_rate, moves, result, winner) of CSA files, in UTF-8, or with ``any_encoding`` in those of ``ENCODINGS``.
 
     The result token is judged from the side to move, the other than the last mover's: 0 Black won, 1 White won, 2 draw, null unknown.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("t"))
+    if any_encoding:
+        whole = spark.read.format("binaryFile").load(path).select("path", decoded("content").alias("t"))
+    else:
+        whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("t"))
     one = lambda pattern: F.nullif(F.regexp_extract("t", pattern, 1), F.lit(""))
     moves = F.regexp_extract_all("t", F.lit(r"(?m)^([+-]\d{4}[A-Z]{2})"), 1)
     x = whole.select(

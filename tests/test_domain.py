@@ -355,3 +355,10 @@ def test_registered(spark):
     assert tuple(row) == ("3c3d", "P*8g", "resign", START[:-2], -32767, MID, 30, 3)
     found = spark.sql("SELECT p.ply, p.prefix FROM (SELECT array('7g7f', '3c3d') AS m) t, LATERAL prefixes(t.m) p ORDER BY p.ply").collect()
     assert [(r.ply, list(r.prefix)) for r in found] == [(0, []), (1, ["7g7f"]), (2, ["7g7f", "3c3d"])]
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "utf-8-sig", "cp932"])
+def test_csa_encodings(spark, tmp_path, encoding):
+    (tmp_path / "x.csa").write_bytes("N+先手\nN-後手\n+7776FU\n%TORYO\n".encode(encoding))
+    row = records.csa_games(spark, str(tmp_path), any_encoding=True).first()
+    assert (row.black, row.white, row.winner) == ("先手", "後手", 0)
