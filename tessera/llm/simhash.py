@@ -22,6 +22,9 @@ BLOCKS = (11, 11, 11, 11, 10, 10)
 #: In a bucket of more fingerprints, the bits that vary are cut into blocks again, and so on until buckets are as small as this.
 DIRECT = 2048
 
+#: Buckets up to this size are compared many at a time, and up to the next as a matrix; links of larger ones are found from one fingerprint at a time.
+FEW, MATRIX = 16, 512
+
 #: The wide form: shingles of five words, fingerprints of 256 bits, and the distance that goes with a similarity of 0.8. Fingerprints measure the angle between texts'
 #: sets of shingles as vectors, so their similarity is its cosine: 0.8 stands for 52 differing bits of 256. Two sets of n shingles with that cosine share 0.8 n,
 #: a Jaccard similarity of 0.67, so all pairs that are 0.8 alike by Jaccard are well within.
@@ -113,7 +116,7 @@ def close_links(fps: np.ndarray, direct: int = DIRECT, distance: int = DISTANCE)
     places = [k for k in range(64) if varying >> k & 1]
     n = 2 * distance
     if len(fps) <= direct or len(places) < n:
-        yield from _direct(fps[:, None], distance)
+        yield from ((int(a[0]), int(b[0])) for a, b in _direct(fps[:, None], distance))
         return
     parts = [places[k::n] for k in range(n)]
     for chosen in combinations(range(n), distance):
@@ -125,67 +128,106 @@ def close_links(fps: np.ndarray, direct: int = DIRECT, distance: int = DISTANCE)
                 yield from close_links(group, direct, distance)
 
 
-def _direct(fps: np.ndarray, distance: int) -> Iterator[tuple]:
+def _direct(fps: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The links of a spanning forest of the close ones among ``fps``, a row of words each."""
     left = fps
-    one = fps.shape[1] == 1
-    name = (lambda x: int(x[0])) if one else (lambda x: x.tobytes())
     while len(left) > 1:
         root, left = left[0], left[1:]
         queue = [root]
         while queue and len(left):
-            apart = np.bitwise_count(left ^ queue.pop())
-            near = (apart[:, 0] if one else apart.sum(axis=1, dtype=np.uint16)) <= distance
+            near = _apart(left, queue.pop()) <= distance
             if near.any():
                 found, left = left[near], left[~near]
                 for x in found:
-                    yield name(root), name(x)
+                    yield root, x
                 queue.extend(found)
 
 
-def linked(keyed: DataFrame, pairs_of, kind: str) -> DataFrame:
-    """(src, dst), distinct, from rows (key, fp): ``pairs_of`` applied to the fingerprints of each bucket of two or more.
-
-    Rows of a bucket arrive sorted and are linked one bucket at a time, so a task holds one bucket of distinct short values.
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many bits rows of words differ in."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.uint16)
+
+
+def _few(fps: np.ndarray, starts: np.ndarray, sizes: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all close pairs in buckets of few rows, each from its start on."""
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for size in np.unique(sizes).tolist():
+        i, j = np.triu_indices(size, 1)
+        first = starts[sizes == size]
+        for k in range(0, len(first), max(1, (1 << 18) // len(i))):
+            at = first[k : k + max(1, (1 << 18) // len(i)), None]
+            a, b = (at + i).ravel(), (at + j).ravel()
+            near = _apart(fps[a], fps[b]) <= distance
+            found.append((a[near], b[near]))
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (none, none)
+
+
+def _matrix(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the first row of each component of close rows, with those of its other rows."""
+    near = _apart(fps[:, None], fps[None]) <= distance
+    label = np.arange(len(fps))
+    if near.sum() > len(fps):
+        while True:
+            new = np.where(near, label, len(fps)).min(axis=1)
+            if (new == label).all():
+                break
+            label = new
+    own = np.flatnonzero(label != np.arange(len(fps)))
+    return label[own], own
+
+
+def linked(keyed: DataFrame, kind: str, distance: int, large) -> DataFrame:
+    """(src, dst), distinct, from rows (key, fp): links that connect what chains of close fingerprints of a bucket connect.
+
+    Rows of a bucket arrive sorted and are linked bucket by bucket, so a task holds one bucket of distinct short values. A bucket gives links in proportion to its
+    size. ``large`` gives those of a large one, as pairs of rows.
     """
     wide = kind == "binary"
 
     def read(column: pa.Array) -> np.ndarray:
         if wide:
             return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(len(column), -1)
-        return column.to_numpy().view(np.uint64)
+        return column.to_numpy().view(np.uint64)[:, None]
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held = None, []
+    def named(rows: np.ndarray) -> pa.Array:
+        return pa.array([r.tobytes() for r in rows], pa.binary()) if wide else pa.array(np.ascontiguousarray(rows[:, 0]).view(np.int64))
 
-        def out(pairs):
-            if not pairs:
-                return []
-            columns = list(zip(*pairs, strict=True))
-            if wide:
-                return [pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["src", "dst"])]
-            return [pa.RecordBatch.from_arrays([pa.array(np.array(c, np.uint64).view(np.int64)) for c in columns], ["src", "dst"])]
+    def out(src: np.ndarray, dst: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(src):
+            yield pa.RecordBatch.from_arrays([named(src), named(dst)], ["src", "dst"])
 
+    def one(fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(fps) <= MATRIX:
+            a, b = _matrix(fps, distance)
+            yield from out(fps[a], fps[b])
+        elif pairs := list(large(fps)):
+            src, dst = (np.stack(x) for x in zip(*pairs, strict=True))
+            yield from out(src, dst)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_key, held = None, []
         for b in batches:
             if not b.num_rows:
                 continue
             keys, fps = b.column(0).to_numpy(), read(b.column(1))
-            cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
-            pairs: list[tuple] = []
+            cuts = np.concatenate(([0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]))
             if held_key == keys[0]:
                 held.append(fps[: cuts[1]])
                 if len(cuts) == 2:
                     continue
                 cuts = cuts[1:]
-            if held and sum(map(len, held)) > 1:
-                pairs.extend(pairs_of(np.concatenate(held)))
-            sizes = np.diff(cuts)
-            for k in np.flatnonzero(sizes[:-1] > 1).tolist():
-                pairs.extend(pairs_of(fps[cuts[k] : cuts[k + 1]]))
+            if sum(map(len, held)) > 1:
+                yield from one(np.concatenate(held))
+            sizes, starts = np.diff(cuts)[:-1], cuts[:-2]
+            few = (sizes > 1) & (sizes <= FEW)
+            i, j = _few(fps, starts[few], sizes[few], distance)
+            yield from out(fps[i], fps[j])
+            for k in np.flatnonzero(sizes > FEW).tolist():
+                yield from one(fps[cuts[k] : cuts[k + 1]])
             held_key, held = keys[cuts[-2]], [fps[cuts[-2] :]]
-            yield from out(pairs)
-        if held and sum(map(len, held)) > 1:
-            yield from out(list(pairs_of(np.concatenate(held))))
+        if sum(map(len, held)) > 1:
+            yield from one(np.concatenate(held))
 
     n = partitions(keyed.sparkSession)
     return keyed.repartition(n, "key").sortWithinPartitions("key").mapInArrow(of, f"src {kind}, dst {kind}").distinct()
@@ -194,7 +236,7 @@ def linked(keyed: DataFrame, pairs_of, kind: str) -> DataFrame:
 def links(distinct: DataFrame, direct: int = DIRECT) -> DataFrame:
     """(src, dst) among the distinct fingerprints ``fp``, bigints: pairs that connect all that close pairs connect."""
     keyed = distinct.select(F.explode(block_keys(F.col("fp"))).alias("key"), "fp")
-    return linked(keyed, lambda fps: close_links(fps, direct), "bigint")
+    return linked(keyed, "bigint", DISTANCE, lambda fps: ((np.array([a], U), np.array([b], U)) for a, b in close_links(fps[:, 0], direct)))
 
 
 def wide_places(splits: int = WIDE_SPLITS, bits: int = WIDE_BITS, words: int = WIDE_WORDS) -> np.ndarray:
@@ -217,7 +259,7 @@ def wide_links(distinct: DataFrame, splits: int = WIDE_SPLITS, bits: int = WIDE_
                 rows = pa.array(np.tile(np.arange(len(fps)), len(places)))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own)), fps.take(rows)], ["key", "fp"])
 
-    return linked(distinct.select("fp").mapInArrow(keys, "key bigint, fp binary"), lambda fps: _direct(fps, distance), "binary")
+    return linked(distinct.select("fp").mapInArrow(keys, "key bigint, fp binary"), "binary", distance, lambda fps: _direct(fps, distance))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -210,6 +210,39 @@ def test_close_links(direct):
         assert groups(want) == groups(got)
 
 
+@pytest.mark.parametrize("few,matrix", [(16, 512), (1, 512), (1, 2), (4, 8)])
+@pytest.mark.parametrize("words", [1, 4])
+def test_links_of_buckets(spark, monkeypatch, few, matrix, words):
+    """Buckets of one row to hundreds, by each of the ways that sizes are linked in, against all pairs; the bounds go with the closures."""
+    rng = np.random.default_rng(words)
+    distance = 3 if words == 1 else 52
+    rows = []
+    for key, size in enumerate([1, 2, 3, 7, 16, 17, 40, 300]):
+        base = rng.integers(0, 1 << 63, (max(1, size // 5), words), dtype=np.uint64)
+        fps = base[rng.integers(0, len(base), size)].copy()
+        for f in fps:
+            for p in rng.choice(64 * words, rng.integers(0, distance), replace=False):
+                f[p // 64] ^= np.uint64(1 << int(p % 64))
+        rows += [(key, f.tobytes()) for f in np.unique(fps, axis=0)]
+    starts = np.array([k for k, r in enumerate(rows) if k == 0 or rows[k - 1][0] != r[0]])
+    sizes = np.diff([*starts, len(rows)])
+    fps = np.frombuffer(b"".join(r[1] for r in rows), "<u8").reshape(len(rows), words)
+    pairs = []
+    small = (sizes > 1) & (sizes <= few)
+    pairs += list(zip(*(x.tolist() for x in simhash._few(fps, starts[small], sizes[small], distance)), strict=True))
+    names = {f.tobytes(): k for k, f in enumerate(fps)}
+    for a, n in zip(starts[sizes > few].tolist(), sizes[sizes > few].tolist(), strict=True):
+        own = fps[a : a + n]
+        if n <= matrix:
+            pairs += [(a + i, a + j) for i, j in zip(*(x.tolist() for x in simhash._matrix(own, distance)), strict=True)]
+        else:
+            pairs += [(names[x.tobytes()], names[y.tobytes()]) for x, y in simhash._direct(own, distance)]
+    bits = [int.from_bytes(f.tobytes(), "little") for f in fps]
+    close = [(i, j) for i, j in combinations(range(len(rows)), 2) if rows[i][0] == rows[j][0] and (bits[i] ^ bits[j]).bit_count() <= distance]
+    groups = lambda c: sorted(sorted(k for k in c if c[k] == v) for v in set(c.values()))
+    assert groups(classes(range(len(rows)), pairs)) == groups(classes(range(len(rows)), close))
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(100)] + [(500, 501), (501, 500), (7, 7), (None, 3)] + [(1000, 1000 + k) for k in range(1, 50)]
     got = components.connected_components(spark.createDataFrame(chain, "src bigint, dst bigint")).collect()
