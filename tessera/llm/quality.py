@@ -69,7 +69,7 @@ def measures(text: Column) -> Column:
 
 
 def window_hash(ws: Column, i: Column) -> Column:
-    return F.xxhash64(F.slice(ws, i + 1, 3))
+    return F.xxhash64(ws[i], ws[i + 1], ws[i + 2])
 
 
 def repeated_words(ws: Column, bits: Column, hash_of=window_hash) -> Column:
