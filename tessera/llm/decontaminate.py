@@ -75,10 +75,16 @@ def sketches(classes: DataFrame, bounds: list[int]) -> DataFrame:
 
 
 def gram_hash(gram: Column) -> Column:
-    """The hash of an array of words; its parts are hashed in turn."""
+    """The hash of an array of words; its parts are hashed in turn, as by ``window_hashes``."""
     return F.xxhash64(gram)
 
 
+def window_hashes(tokens: Column, width: int) -> Column:
+    """``gram_hash`` of every run of ``width`` tokens, without an array for each; null if there are fewer tokens."""
+    of = lambda ws: F.transform(F.sequence(F.lit(0), F.size(ws) - width), lambda i: F.xxhash64(*(ws[i + k] for k in range(width))))
+    return let(tokens, lambda ws: F.when(F.size(ws) >= width, of(ws)))
+
+
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_found, containment): texts that contain at least 80 % of an item's distinct five-word shingles.
 
@@ -117,7 +123,7 @@ def class_leaks(docs: DataFrame, classes: DataFrame) -> DataFrame:
     found = None
     for c in cuts:
         found_in = lambda d: F.when(F.size(d) >= c.least, F.transform(F.filter(d, lambda h: h <= F.lit(c.top)), lambda h: F.struct(h.alias("d_hash"), F.size(d).alias("d_n"))))  # noqa: B023, E731
-        own = let(windows(lowered(F.col("text")), F.lit(c.d_width), gram_hash), found_in)
+        own = let(window_hashes(lowered(F.col("text")), c.d_width), found_in)
         hashes = docs.select("doc_id", F.explode(own).alias("d_own")).select("doc_id", "d_own.d_hash", "d_own.d_n")
         hits = hashes.join(small_sketch.where(F.col("d_width") == c.d_width), "d_hash").where("d_n >= d_least").select("doc_id", "item_id")
         found = hits if found is None else found.unionAll(hits)
