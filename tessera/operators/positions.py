@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.rules import replayed, successors
+from tessera.functions.rules import book_moves, successors
 from tessera.functions.sfen import part, trim_ply
 from tessera.plans.physical import checkpoint
 
@@ -14,12 +17,18 @@ def games_to_book(games: DataFrame, limit: int) -> DataFrame:
     """(key, move, ponder, move_count) of the first ``limit`` + 1 moves of each ``position`` line.
 
     The ponder of a move is the next one; a game's last move has none and is left out. Moves end at the first illegal one.
+    Equal lines are counted and the rest are walked as a tree, a batch at a time, so that a batch sends a row for each of its positions and moves.
     """
-    x = games.select(F.slice(F.filter(replayed("position"), lambda s: s["move"] != ""), 1, limit + 1).alias("steps"))
-    x = x.select("steps", F.posexplode("steps").alias("at", "s"))
-    following = F.get(F.col("steps"), F.col("at") + 1)["move"]
-    pairs = x.select(trim_ply(F.col("s.sfen")).alias("key"), F.col("s.move").alias("move"), following.alias("ponder")).where("ponder IS NOT NULL")
-    return pairs.groupBy("key", "move").agg(F.min("ponder").alias("ponder"), F.count(F.lit(1)).alias("move_count"))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = b.column(0).drop_null().value_counts()
+            lines = zip(found.field("values").to_pylist(), found.field("counts").to_pylist())
+            columns = list(zip(*book_moves(lines, limit))) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.string(), pa.string(), pa.string(), pa.int64()))], ["sfen", "move", "ponder", "n"])
+
+    pairs = games.select("position").mapInArrow(of, "sfen string, move string, ponder string, n bigint").withColumn("key", trim_ply(F.col("sfen")))
+    return pairs.groupBy("key", "move").agg(F.min("ponder").alias("ponder"), F.sum("n").alias("move_count"))
 
 
 def ply_labels(book: DataFrame, start: str, depth: int) -> DataFrame:
